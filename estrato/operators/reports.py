@@ -114,25 +114,33 @@ def _left(entry: Column) -> Column:
     return F.when(_entered(entry) == 0, F.col("_out0")).otherwise(F.col("_out1"))
 
 
-def quote_states(
+def quote_maps(
     block: DataFrame, file: str, sep: str = ";", span: int = CHUNK_SPAN
 ) -> DataFrame:
-    """Each line with ``opens_in`` and ``ends_in``: 1 where it starts or ends inside a
-    quoted field.  Lines are shuffled once, by file and chunk."""
+    """Each line with its own map and that of the lines above it in its chunk.
+
+    The one step that shuffles and sorts the text, by file and chunk.  Several steps
+    read the result, so a plan writes it first.
+    """
     coded = with_chunk(block, LINE, span).select(
         file, CHUNK, LINE, RAW,
         _ends_inside(F.col(RAW), False, sep).alias("_out0"),
         _ends_inside(F.col(RAW), True, sep).alias("_out1"),
     )
-    states = _state_before(coded, [file, CHUNK], LINE)
-    per_chunk = states.groupBy(file, CHUNK).agg(
+    return _state_before(coded, [file, CHUNK], LINE)
+
+
+def quote_states(maps: DataFrame, file: str) -> DataFrame:
+    """Each line with ``opens_in`` and ``ends_in``: 1 where it starts or ends inside a
+    quoted field."""
+    per_chunk = maps.groupBy(file, CHUNK).agg(
         F.max_by(_left(F.lit(0)), F.col(LINE)).alias("_out0"),
         F.max_by(_left(F.lit(1)), F.col(LINE)).alias("_out1"),
     )
     entry = _state_before(per_chunk, [file], CHUNK).select(
         file, CHUNK, _entered(F.lit(0)).alias("_entry")
     )
-    return states.join(entry, [file, CHUNK]).select(
+    return maps.join(entry, [file, CHUNK]).select(
         file, LINE, RAW,
         _entered(F.col("_entry")).alias("opens_in"),
         _left(F.col("_entry")).alias("ends_in"),
@@ -253,6 +261,11 @@ def select_fields(
     )
 
 
+def drop_empty_records(parsed: DataFrame, na_tokens: Sequence[str] = CSV_NA) -> DataFrame:
+    """Drop records in which every field is an NA token."""
+    return parsed.where(F.exists("fields", lambda f: ~f.isin(*na_tokens)))
+
+
 def period_of(name: Column, suffix: str) -> Column:
     """``202511`` of ``t_202511_182``; empty text for another name."""
     return F.regexp_extract(name, rf"t_(\d{{6}})_{suffix}$", 1)

@@ -24,7 +24,12 @@ def align_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def drop_empty_rows(df: DataFrame, business_columns: Sequence[str]) -> DataFrame:
-    """Drop rows in which all business columns are NULL (metadata does not count)."""
+    """Drop rows in which all business columns are NULL (metadata does not count).
+
+    For a handful of columns: the optimizer derives a variant of this predicate for
+    every renamed column above it.  Wide report rows are tested before they are spread
+    into columns (:func:`estrato.operators.reports.drop_empty_records`).
+    """
     return df.na.drop("all", subset=list(business_columns))
 
 

@@ -14,7 +14,7 @@ from estrato import schemas
 from estrato.functions import dates, numbers, text
 from estrato.operators import reports
 from estrato.operators.ordered import forward_fill
-from estrato.operators.shape import align_to_schema, drop_empty_or_zero, drop_empty_rows
+from estrato.operators.shape import align_to_schema, drop_empty_or_zero
 from estrato.session import written
 from estrato.sources.files import TABLE
 from estrato.sources.tables import datasets_with_suffix
@@ -174,9 +174,9 @@ class Parsed:
 def parse_report(lines: DataFrame, report: Report, file: str = TABLE) -> Parsed:
     """Carve and parse all files of one report kind at once.
 
-    Two small results are written on the way: the marker lines, so the raw text is not
-    searched twice, and the parsed records, which the check for unreadable files and
-    the typed rows both read.
+    Results that several steps read are written on the way: the marker lines, the block
+    lines with their quote maps, and the parsed records.  So the raw text is read twice
+    and shuffled once, whatever its size.
     """
     columns = report.columns or _one(**{c: c for c in _business(report)})
     rename = None if report.columns else text.column_name
@@ -185,7 +185,8 @@ def parse_report(lines: DataFrame, report: Report, file: str = TABLE) -> Parsed:
     )
     bounds = reports.block_bounds(markers, file)
     block = reports.carve_block(lines, bounds, file)
-    records, unclosed = reports.logical_records(reports.quote_states(block, file), file)
+    maps = written(reports.quote_maps(block, file), "lines")
+    records, unclosed = reports.logical_records(reports.quote_states(maps, file), file)
     parsed = written(reports.parse_records(records, file), "records")
     at = reports.header_positions(bounds, file, columns, rename=rename)
 
@@ -229,7 +230,8 @@ def typed_report(
     file: str = TABLE,
 ) -> DataFrame:
     """Typed silver rows.  ``test_email`` is the address whose sales count as tests."""
-    rows = reports.select_fields(parsed.rows, parsed.positions, file, parsed.columns)
+    filled = reports.drop_empty_records(parsed.rows)
+    rows = reports.select_fields(filled, parsed.positions, file, parsed.columns)
     if report.fill:
         rows = forward_fill(rows, [file], reports.LINE, report.fill)
     if report.need:
@@ -254,11 +256,7 @@ def typed_report(
         typed = typed.join(has_email, "fonte_tabela_bronze").withColumn(
             "teste", F.when(F.col("_has_email"), flag).otherwise(F.lit("NÃO"))
         )
-    return align_to_schema(drop_empty_rows(typed, _present(report, typed)), report.schema)
-
-
-def _present(report: Report, typed: DataFrame) -> list[str]:
-    return [n for n in _business(report) if n in typed.columns and n != "teste"]
+    return align_to_schema(typed, report.schema)
 
 
 def silver_report(

@@ -57,6 +57,17 @@ def text_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame
     )
 
 
+def lines_of_text(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Physical lines of a text column, numbered from 1 per row: ``(key, line_no,
+    raw_line)``.  The empty rest after a final line break is no line."""
+    parts = F.split(F.col(text), "\r\n|\n|\r")
+    last = F.element_at(parts, -1)
+    count = F.size(parts) - F.when(last == "", F.lit(1)).otherwise(F.lit(0))
+    return df.select(
+        key, F.posexplode(F.slice(parts, F.lit(1), count)).alias("_at", "raw_line")
+    ).select(key, (F.col("_at") + 1).cast("long").alias("line_no"), "raw_line")
+
+
 def raw_lines(
     spark: SparkSession,
     path: str,
@@ -109,9 +120,8 @@ def header_csv(
         F.lit(None).cast("long").alias("stop_line"),
     )
     block = reports.carve_block(lines, heads, "_path")
-    records, unclosed = reports.logical_records(
-        reports.quote_states(block, "_path", sep), "_path"
-    )
+    maps = written(reports.quote_maps(block, "_path", sep), "csv-lines")
+    records, unclosed = reports.logical_records(reports.quote_states(maps, "_path"), "_path")
     parsed = written(reports.parse_records(records, "_path", sep), "csv-records")
     at = reports.header_positions(heads, "_path", {c: [c] for c in required}, sep)
     absent = F.array_compact(

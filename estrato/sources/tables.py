@@ -86,10 +86,10 @@ def write_reports(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write report rows by ``src_table``.
 
     ``overwrite`` replaces the datasets that are in ``df`` and leaves the others alone;
-    ``append`` adds to them.  A third of the rows may be of one dataset, so the rows of
-    a dataset are not gathered before the write.
+    ``append`` adds to them.  Rows are rebalanced by dataset: small datasets become one
+    file, and one that holds a third of all rows is split over many tasks.
     """
-    writer = df.write.mode(mode).partitionBy("src_table")
+    writer = df.hint("rebalance", "src_table").write.mode(mode).partitionBy("src_table")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

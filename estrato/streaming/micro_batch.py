@@ -31,16 +31,18 @@ def insert_stream(
     keys: Sequence[str],
     order_by: Sequence[Column],
     transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+    batch_prefix: str = "stream",
 ) -> StreamingQuery:
     """Insert the rows with new keys, batch by batch, until all files are read.
 
     The checkpoint remembers the files that are done, in place of a watermark row.  A
     batch that is run again writes the same folder again, so a lost driver or executor
-    leaves no double rows.
+    leaves no double rows.  ``batch_prefix`` names the stream in those folders: a stream
+    that starts over with a new checkpoint takes a new one.
     """
 
     def load(rows: DataFrame, batch: int) -> None:
-        append_new(transform(rows), path, keys, order_by, f"{batch:010d}")
+        append_new(transform(rows), path, keys, order_by, f"{batch_prefix}-{batch:010d}")
 
     return (
         stream.writeStream.foreachBatch(load)
