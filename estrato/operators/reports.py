@@ -262,8 +262,10 @@ def select_fields(
 
 
 def drop_empty_records(parsed: DataFrame, na_tokens: Sequence[str] = CSV_NA) -> DataFrame:
-    """Drop records in which every field is an NA token."""
-    return parsed.where(F.exists("fields", lambda f: ~f.isin(*na_tokens)))
+    """Drop records in which every field is an NA token (the first field is tested alone
+    before the others, as it is filled in most records)."""
+    filled = ~F.get(F.col("fields"), F.lit(0)).isin(*na_tokens)
+    return parsed.where(filled | F.exists("fields", lambda f: ~f.isin(*na_tokens)))
 
 
 def period_of(name: Column, suffix: str) -> Column:

@@ -15,7 +15,7 @@ from estrato.plans import sales
 from estrato.plans.registered.common import (
     RUN_MICROS, RUN_TS, br_text, cents, cents_sql, money_sql, pick, pick_sql, plain, table,
 )
-from estrato.session import written
+from estrato.session import spread, written
 
 END = 10**15
 FILE = "src_table"
@@ -56,7 +56,7 @@ def _framed(
     ``header`` is an expression over the dataset name, ``extra`` holds more lines.
     Records may have line breaks.  Bronze is a stored layer, so the lines are written.
     """
-    data = records.select(
+    data = spread(records).select(
         FILE, "at", F.posexplode(F.split("record", "\n")).alias("k", "raw_line")
     ).select(FILE, (F.col("at") * width + F.col("k") + 100).alias("line_no"), "raw_line")
     frame = [
@@ -79,13 +79,16 @@ def _framed(
 
 _HEAD = "Conta;Loc VHF;Autorização;Cliente;Endereço;Celular;"
 _TAIL = "Data;Criado;Qtd;Produto;Un.;Total;Status;Data Utilização;Quantidade de Parcelas;"
-_EVEN = F.substring(FILE, 3, 4).cast("int") % 2 == 0
+
+
+def _even_year() -> Column:
+    return F.substring(FILE, 3, 4).cast("int") % 2 == 0
 
 
 def _header_182() -> Column:
     bom = F.lit(chr(0xFEFF))
     with_email = F.concat(bom, F.lit(f"{_HEAD}Email;Agência;{_TAIL}"))
-    return F.when(_EVEN, with_email).otherwise(F.lit(f"{_HEAD}Agencia;{_TAIL}"))
+    return F.when(_even_year(), with_email).otherwise(F.lit(f"{_HEAD}Agencia;{_TAIL}"))
 
 
 def _lines_182(spark, sf, stops=('"";"";', '"Total Geral";"1"')) -> DataFrame:
@@ -120,7 +123,7 @@ def _lines_182(spark, sf, stops=('"";"";', '"Total Geral";"1"')) -> DataFrame:
     named = sale.withColumn(FILE, _dataset("182"))
     records = named.select(
         FILE, F.col("o_orderkey").alias("at"),
-        F.when(_EVEN, _quoted(*first, email, *rest)).otherwise(_quoted(*first, *rest)).alias("record"),
+        F.when(_even_year(), _quoted(*first, email, *rest)).otherwise(_quoted(*first, *rest)).alias("record"),
     )
     return _framed(records, _header_182(), list(stops))
 

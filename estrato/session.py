@@ -50,3 +50,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input before costly work per row.
+
+    An input that already has a partition per core is left as it is, so on large data
+    nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -1,0 +1,141 @@
+"""Scalar rules on hand-made values; the expected values are those of plain Python."""
+
+from __future__ import annotations
+
+import math
+from datetime import date, datetime
+
+import pandas as pd
+import pytest
+from conftest import RUN_TS
+from pyspark.sql import functions as F
+
+from estrato.functions import dates, html, numbers, text
+from estrato.functions.payload import payload_of
+
+
+def apply(spark, rule, values, kind="string"):
+    rows = [(i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"i int, x {kind}")
+    out = df.select("i", rule(F.col("x")).alias("y")).orderBy("i").collect()
+    return [r.y for r in out]
+
+
+WEIRD = ["", " ", "a", " a ", " a\t", "\x1fa　", "a b", "﻿a", None]
+
+
+def test_strip_is_python_strip(spark):
+    assert apply(spark, text.strip, WEIRD) == [None if v is None else v.strip() for v in WEIRD]
+
+
+def test_br_decimal_is_the_pandas_rule(spark):
+    values = ["1.234,56", "12.50", " 7 ", "", "nan", "None", "abc", "-1,005", "1,2,3", "1e3", "+4,4", None]
+    s = pd.Series(values, dtype="string").astype(str).str.strip()
+    s = s.str.replace(".", "", regex=False).str.replace(",", ".", regex=False)
+    want = [None if math.isnan(v) else v for v in pd.to_numeric(s, errors="coerce")]
+    got = apply(spark, numbers.br_decimal, values)
+    assert [v is None for v in got] == [v is None for v in want]
+    assert all(abs(float(g) - w) < 0.011 for g, w in zip(got, want) if w is not None)
+
+
+def test_whole_number(spark):
+    values = ["1", " 2 ", "3.9", "x", "", None, "1e2", "1d", "-4"]
+    assert apply(spark, numbers.whole_number, values) == [1, 2, 3, None, None, None, 100, None, -4]
+
+
+def test_digits_int(spark):
+    values = ["25°", " /20° ", "10-12", "12.5", "N/A", "", None, "-3", "99999999999"]
+    assert apply(spark, numbers.digits_int, values) == [25, 20, None, 125, None, None, None, -3, None]
+
+
+def test_empty_or_zero(spark):
+    values = ["", " ", None, "nan", "NULL", "0", "0%", "0,00", "0.0", "10%", "x", "0d"]
+    want = [True] * 9 + [False, False, False]
+    assert apply(spark, numbers.is_empty_or_zero, values) == want
+
+
+def test_code_and_label(spark):
+    values = ["12 - Adulto", "12 - Adulto - VIP", "1 2 - X", "Ingresso - Dia", " - ", "12 - ", "", None, "Semdelim"]
+    assert apply(spark, text.code_of, values) == [12, 12, 12, None, None, 12, None, None, None]
+    o = "OUTROS"
+    assert apply(spark, text.label_of, values) == ["Adulto", "Adulto", "X", o, o, None, o, o, o]
+
+
+def test_city_and_state(spark):
+    values = ["Cotia", "Cotia, SP", "A, B, C", "", None, " ", "Cotia,SP"]
+    assert apply(spark, text.city_of, values) == ["Cotia", "Cotia", "A", "unknown", "unknown", "", "Cotia,SP"]
+    assert apply(spark, text.state_of, values) == [None, "SP", "B, C", None, None, None, None]
+    assert apply(spark, text.without_state, values)[1] == "Cotia"
+    assert apply(spark, text.without_state, values)[-1] == "Cotia"
+
+
+def test_names(spark):
+    values = ["202511_182", " Relação  de vendas ", "___", "", "A-B--c", "﻿x", "ção"]
+    want = ["t_202511_182", "rela_o_de_vendas", "t_unnamed", "t_unnamed", "a_b_c", "x", "o"]
+    assert apply(spark, text.dataset_name, values) == want
+
+
+def test_day_first(spark):
+    values = ["31/12/2025", "2025-01-02", "5/1/2025 9:07", "05/01/2025 10:20:30", "31/02/2025", "x", "", None, "2025", "12-11-2025"]
+    got = apply(spark, dates.day_first_date, values)
+    assert got[:4] == [date(2025, 12, 31), date(2025, 1, 2), date(2025, 1, 5), date(2025, 1, 5)]
+    assert got[4:9] == [None] * 5 and got[9] == date(2025, 11, 12)
+    stamp = apply(spark, dates.day_first_timestamp, values)
+    assert stamp[2] == datetime(2025, 1, 5, 9, 7)
+
+
+def test_forecast_day(spark):
+    values = ["2025-11-05", "05/11/2025", "20251105", "2025-11-05T10:20", "11/2025", "5/1/2025", None, "2025-13-01"]
+    d = date(2025, 11, 5)
+    assert apply(spark, dates.iso_or_br_date, values) == [d, d, d, d, None, date(2025, 1, 5), None, None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Tokyo"])
+def test_scrape_time_in_any_session_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(
+            [(0, "2025-11-05", "10:20:00"), (1, "05/11/2025", None), (2, None, "10:20:00"), (3, "2025-11-05", "tarde"),
+             (4, "2018-07-04", "00:30:00")],
+            "i int, d string, h string",
+        )
+        at = dates.scraped_at(F.col("d"), F.col("h"), RUN_TS)
+        got = [r.t for r in df.select("i", F.unix_seconds(at).alias("t")).orderBy("i").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    run = int(RUN_TS.timestamp())
+    assert got == [1762348800, 1762311600, run, run, 1530675000]
+
+
+def test_run_windows():
+    day = date(2025, 11, 5)
+    assert dates.today_only(day) == (day, day)
+    assert dates.snapshot_until_yesterday(day) == (date(2025, 1, 1), date(2025, 11, 4))
+    assert dates.last_days(day) == (date(2021, 11, 6), day)
+    assert dates.look_back(datetime(2025, 11, 5)) == datetime(2025, 11, 3)
+
+
+def test_payload_keeps_nulls_and_digits(spark):
+    df = spark.sql(
+        "select 1 as a, cast(null as string) as b, cast('12.50' as decimal(10,2)) as c, date'2025-11-05' as d, "
+        "timestamp_ntz'2025-11-05 10:20:00' as e, timestamp_ntz'2025-11-05 10:20:00.5' as f, 'ç \"x\"' as g"
+    )
+    got = df.select(payload_of(df).alias("p")).first().p
+    assert got == (
+        '{"a":1,"b":null,"c":"12.50","d":"2025-11-05","e":"2025-11-05 10:20:00",'
+        '"f":"2025-11-05 10:20:00.500000","g":"ç \\"x\\""}'
+    )
+
+
+def test_elements(spark):
+    page = (
+        '<div class="a daily"><div>x<div>y</div></div>z</div><p class="daily">no</p><div class="daily2">no</div>'
+        "<div id='1' class='daily b'>last &amp; <b>bold</b>"
+    )
+    rule = lambda c: html.elements(c, "div", "daily")
+    assert apply(spark, rule, [page, "", None]) == [
+        ["<div>x<div>y</div></div>z", "last &amp; <b>bold</b>"], [], None,
+    ]
+    assert apply(spark, lambda c: html.clean_text(html.first(c, "p", "daily")), [page]) == ["no"]
+    assert apply(spark, lambda c: html.first(c, "div", "gone"), [page]) == [None]
