@@ -212,9 +212,11 @@ def tables_q(spark, sf):
         "relation": customer.select(
             F.col("c_custkey").alias("idEmpresaRelacionamento"),
             F.col("c_custkey").alias("idPessoaRelacionamento"),
-            F.lit(1).alias("idTipoRelacionamentoEmpresa"),
+            F.col("c_nationkey").alias("idTipoRelacionamentoEmpresa"),
+        ),
+        "relation_type": table(spark, sf, "nation").select(
+            F.col("n_nationkey").alias("idTipoRelacionamentoEmpresa")
         ),
-        "relation_type": spark.sql("select 1 as idTipoRelacionamentoEmpresa"),
         "member_title": customer.where(F.col("c_acctbal") > 3000).select(
             F.col("c_custkey").alias("idEmpresaRelacionamentoTitular"),
             F.col("c_custkey").alias("idTitulo"), F.col("c_nationkey").alias("idCategoriaTitulo"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from estrato.functions.text import dataset_name
 from estrato.operators import reports
 from estrato.session import written
+from estrato.sources.paths import escaped, matching, plain_name
 
 FILE, TABLE = "_source_file", "src_table"
 
@@ -20,15 +21,18 @@ def new_batch_id() -> str:
     return uuid.uuid4().hex
 
 
-def text_lines(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
+def text_lines(
+    spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv"
+) -> DataFrame:
     """Physical lines of all files, numbered from 1 in each file, decoded per file.
 
     Files are split: a file of any size is read by many tasks.  A line knows its split
     (``file_block_start``) and its place in it; the number of lines in the splits before
     gives the rest, from an aggregate with one row per split.  A file whose lines are
-    all valid UTF-8 is UTF-8, any other is Latin-1, so no byte is lost.
+    all valid UTF-8 is UTF-8, any other is Latin-1, so no byte is lost.  The reader
+    removes a byte order mark at the start of a file.
     """
-    lines = spark.read.option("pathGlobFilter", glob).text(path).select(
+    lines = spark.read.option("pathGlobFilter", glob).text(path if isinstance(path, str) else list(path)).select(
         "value",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias(FILE),
@@ -82,16 +86,17 @@ def raw_lines(
     _batch_id`` and, with an origin, ``origem_dado, dt_carga`` in place of
     ``_ingested_at``.
 
-    ``allow`` names the only files to read; with several, a glob of them is pushed into
-    the file listing.  A path without a matching file is an error of the reader.
+    ``allow`` names the only files to read.  A folder without a matching file is an
+    error.
     """
-    if allow:
-        glob = "{" + ",".join(allow) + "}"
-    lines = text_lines(spark, path, glob)
-    stem = F.regexp_replace(F.url_decode(F.col(FILE)), r"\.[^.]*$", "")
-    named = lines.withColumn(FILE, F.url_decode(F.col(FILE))).withColumn(
-        TABLE, dataset_name(stem)
-    )
+    names = [escaped(n) for n in allow] if allow else [glob]
+    found = [p for n in names for p in matching(spark, f"{path}/{n}")]
+    if not found:
+        raise FileNotFoundError(f"no file of {names} in {path}")
+    lines = text_lines(spark, [escaped(p) for p in found] if allow else path, glob)
+    lines = lines.withColumn(FILE, plain_name(F.col(FILE)))
+    stem = F.regexp_replace(FILE, r"\.[^.]*$", "")
+    named = lines.withColumn(TABLE, dataset_name(stem))
     common = [TABLE, "line_no", "raw_line", FILE]
     if origin is None:
         return named.select(
@@ -143,5 +148,5 @@ def header_csv(
     rows = reports.select_fields(parsed, at, "_path", required, na_tokens=()).join(
         rejected.select("_path"), "_path", "left_anti"
     )
-    name = F.url_decode(F.element_at(F.split("_path", "/"), -1)).alias(FILE)
+    name = plain_name(F.element_at(F.split("_path", "/"), -1)).alias(FILE)
     return rows.select(name, "line_no", *required), rejected.select(name, "reason")

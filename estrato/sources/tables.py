@@ -16,20 +16,14 @@ from pyspark.sql import types as T
 
 from estrato.operators.audit import counted
 from estrato.operators.incremental import insert_new, merge_upsert
-
-
-def _list(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob, in the file system of the path."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(s.getPath().toString() for s in fs.globStatus(path) or [])
+from estrato.sources.paths import matching
 
 
 def read_appended(
     spark: SparkSession, path: str, schema: T.StructType, without_batch: str | None = None
 ) -> DataFrame:
     """All loads of an appended table (no row if there is none yet)."""
-    if not _list(spark, f"{path}/batch=*/_SUCCESS"):
+    if not matching(spark, f"{path}/batch=*/_SUCCESS"):
         return spark.createDataFrame([], schema)
     read = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
     df = spark.read.schema(read).parquet(path)
@@ -55,7 +49,7 @@ def append_new(
 
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Committed versions, oldest first."""
-    return [p.rsplit("/", 1)[0] for p in _list(spark, f"{path}/version=*/_SUCCESS")]
+    return [p.rsplit("/", 1)[0] for p in matching(spark, f"{path}/version=*/_SUCCESS")]
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -107,7 +107,7 @@ SALE_HEADER = "Conta;Loc VHF;Autorização;Cliente;Email;Data;Criado;Qtd;Total;Q
 
 def test_sales_export(spark):
     body = "\n".join([
-        "Relatório de vendas", "", "﻿" + SALE_HEADER,
+        "Relatório de vendas", "", chr(0xFEFF) + SALE_HEADER,
         '"101";"";"A1";"Pessoa Um";" OPS@x.example ";"05/11/2025";"05/11/2025 10:20";"2";"1.234,50";"3.0";',
         '"102";"";"A2";"Pessoa\nDois";"b@x.example";"2025-11-06";"06/11/2025 10:20:30";"x";"12.50";"";',
         "",
