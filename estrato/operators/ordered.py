@@ -19,7 +19,7 @@ CHUNK_SPAN = 1 << 17
 
 def with_chunk(df: DataFrame, order: str, span: int = CHUNK_SPAN) -> DataFrame:
     """Number the chunk of each row; ``order`` is an integer, unique within a group."""
-    return df.withColumn(CHUNK, F.floor(F.col(order) / F.lit(span)))
+    return df.withColumn(CHUNK, F.expr(f"`{order}` div {span}"))
 
 
 def within_chunk(group: Sequence[str], order: str) -> Window:

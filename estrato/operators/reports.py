@@ -130,46 +130,66 @@ def quote_maps(
     return _state_before(coded, [file, CHUNK], LINE)
 
 
-def quote_states(maps: DataFrame, file: str) -> DataFrame:
-    """Each line with ``opens_in`` and ``ends_in``: 1 where it starts or ends inside a
-    quoted field."""
+INSIDE, UNCLOSED = "inside", "unclosed"
+
+
+def quote_exceptions(maps: DataFrame, file: str) -> DataFrame:
+    """The few places where quotes matter beyond a line: ``(file, _chunk, kind)``.
+
+    ``inside`` marks a chunk that starts inside a quoted field, ``unclosed`` a file whose
+    last quote never closes.  Read from the maps without the text; a plan writes the
+    result, so that its true size decides how it is joined with the text.
+    """
     per_chunk = maps.groupBy(file, CHUNK).agg(
         F.max_by(_left(F.lit(0)), F.col(LINE)).alias("_out0"),
         F.max_by(_left(F.lit(1)), F.col(LINE)).alias("_out1"),
     )
-    entry = _state_before(per_chunk, [file], CHUNK).select(
-        file, CHUNK, _entered(F.lit(0)).alias("_entry")
+    states = _state_before(per_chunk, [file], CHUNK).select(
+        file, CHUNK, _entered(F.lit(0)).alias("_in"), _left(F.lit(0)).alias("_out")
     )
-    return maps.join(entry, [file, CHUNK]).select(
-        file, LINE, RAW,
-        _entered(F.col("_entry")).alias("opens_in"),
-        _left(F.col("_entry")).alias("ends_in"),
+    ends = states.groupBy(file).agg(F.max_by("_out", CHUNK).alias("_out"))
+    inside = states.where("_in = 1").select(file, CHUNK, F.lit(INSIDE).alias("kind"))
+    unclosed = ends.where("_out = 1").select(
+        file, F.lit(None).cast("long").alias(CHUNK), F.lit(UNCLOSED).alias("kind")
     )
+    return inside.unionByName(unclosed)
+
 
+def unclosed_files(exceptions: DataFrame, file: str) -> DataFrame:
+    return exceptions.where(F.col("kind") == UNCLOSED).select(file)
 
-def logical_records(
-    states: DataFrame, file: str, span: int = CHUNK_SPAN
-) -> tuple[DataFrame, DataFrame]:
-    """CSV records ``(file, line_no, raw_line)`` and the files with an unclosed quote.
 
-    ``line_no`` is the first line of a record.  Most records are one line and pass by
-    untouched; only lines of longer records are shuffled and joined with line breaks.
-    A file whose last quote never closes gives no records: its tail would be one field.
+def quote_states(maps: DataFrame, exceptions: DataFrame, file: str) -> DataFrame:
+    """Each line with ``opens_in`` and ``ends_in``: 1 where it starts or ends inside a
+    quoted field.  Files with an unclosed quote are left out: the tail of such a file
+    would be one field, and strict CSV readers refuse it."""
+    inside = exceptions.where(F.col("kind") == INSIDE).select(file, CHUNK, F.lit(1).alias("_in"))
+    entry = F.coalesce(F.col("_in"), F.lit(0))
+    return (
+        maps.join(unclosed_files(exceptions, file), file, "left_anti")
+        .join(inside, [file, CHUNK], "left")
+        .select(
+            file, LINE, RAW, _entered(entry).alias("opens_in"), _left(entry).alias("ends_in")
+        )
+    )
+
+
+def logical_records(states: DataFrame, file: str, span: int = CHUNK_SPAN) -> DataFrame:
+    """CSV records ``(file, line_no, raw_line)``; ``line_no`` is the first line of each.
+
+    Most records are one line and pass by untouched; only lines of longer records are
+    shuffled and joined with line breaks.
     """
     single = (F.col("opens_in") == 0) & (F.col("ends_in") == 0)
-    parts = states.where(~single)
-    balance = parts.groupBy(file).agg(F.sum(F.col("ends_in") - F.col("opens_in")).alias("_open"))
-    unclosed = balance.where(F.col("_open") != 0).select(file)
     numbered = forward_fill(
-        parts.withColumn("_start", F.when(F.col("opens_in") == 0, F.col(LINE))),
+        states.where(~single).withColumn("_start", F.when(F.col("opens_in") == 0, F.col(LINE))),
         [file], LINE, ["_start"], span,
-    ).join(unclosed, file, "left_anti")
+    )
     joined = numbered.groupBy(file, "_start").agg(
         F.expr(f"listagg({RAW}, '\\n') within group (order by {LINE})").alias(RAW)
     )
     singles = states.where(single).select(file, LINE, RAW)
-    whole = singles.join(unclosed, file, "left_anti")
-    return whole.unionByName(joined.withColumnRenamed("_start", LINE)), unclosed
+    return singles.unionByName(joined.withColumnRenamed("_start", LINE))
 
 
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'

@@ -21,6 +21,10 @@ END = 10**15
 FILE = "src_table"
 
 
+def _orders(spark, sf) -> DataFrame:
+    return spread(table(spark, sf, "orders"))
+
+
 def _month(c: Column | str = "o_orderdate") -> Column:
     return F.date_format(c, "yyyyMM")
 
@@ -56,7 +60,7 @@ def _framed(
     ``header`` is an expression over the dataset name, ``extra`` holds more lines.
     Records may have line breaks.  Bronze is a stored layer, so the lines are written.
     """
-    data = spread(records).select(
+    data = records.select(
         FILE, "at", F.posexplode(F.split("record", "\n")).alias("k", "raw_line")
     ).select(FILE, (F.col("at") * width + F.col("k") + 100).alias("line_no"), "raw_line")
     frame = [
@@ -94,7 +98,7 @@ def _header_182() -> Column:
 def _lines_182(spark, sf, stops=('"";"";', '"Total Geral";"1"')) -> DataFrame:
     """Even years have an e-mail column and a BOM; every third address runs over two
     lines and has quotes and a separator in it."""
-    sale = table(spark, sf, "orders").join(
+    sale = _orders(spark, sf).join(
         table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
     address = pick(
@@ -131,9 +135,8 @@ def _lines_182(spark, sf, stops=('"";"";', '"Total Geral";"1"')) -> DataFrame:
 def carve(spark, sf):
     lines = _lines_182(spark, sf)
     r = sales.SALES_182
-    bounds = reports.block_bounds(
-        written(reports.marker_lines(lines, FILE, r.header, r.stops), "markers"), FILE
-    )
+    markers = written(reports.marker_lines(lines, FILE, r.header, r.stops), "markers")
+    bounds = written(reports.block_bounds(markers, FILE), "bounds")
     block = reports.carve_block(lines, bounds, FILE)
     return block.select(FILE, "line_no", F.length("raw_line").alias("chars"))
 
@@ -182,11 +185,11 @@ def header_map(spark, sf):
     """Text columns by header name, one row per record."""
     lines = _lines_182(spark, sf)
     r = sales.SALES_182
-    bounds = reports.block_bounds(
-        written(reports.marker_lines(lines, FILE, r.header, r.stops), "markers"), FILE
-    )
+    markers = written(reports.marker_lines(lines, FILE, r.header, r.stops), "markers")
+    bounds = written(reports.block_bounds(markers, FILE), "bounds")
     maps = written(reports.quote_maps(reports.carve_block(lines, bounds, FILE), FILE), "lines")
-    records, _ = reports.logical_records(reports.quote_states(maps, FILE), FILE)
+    odd = written(reports.quote_exceptions(maps, FILE), "quotes")
+    records = reports.logical_records(reports.quote_states(maps, odd, FILE), FILE)
     wanted = {"conta": ["Conta"], "cliente": ["Cliente"], "endereco": ["Endereço"],
               "celular": ["Celular"], "email": ["Email"], "agencia": ["Agencia", "Agência"],
               "total": ["Total"], "ausente": ["Ausente"]}
@@ -239,7 +242,7 @@ from sale"""
 
 def report_270(spark, sf):
     header = "Conta;Autorização;Cliente;Data;Criado;Qtd;Total;Data Utilização;Hora Utilização;Data Encerramento"
-    o = table(spark, sf, "orders")
+    o = _orders(spark, sf)
     day = F.date_format("o_orderdate", "d/M/yyyy")
     clock = pick(F.col("o_orderkey"), F.lit("9:05"), F.lit("23:59:58"), F.lit("?"))
     record = F.concat_ws(
@@ -269,7 +272,7 @@ from orders"""
 
 def report_418(spark, sf):
     header = "Conta;Data;Data Visita;Qtd;Valor;Produtos-Carrinho;Pessoa;Email;Telefone;Cidade;Motivo;"
-    o = table(spark, sf, "orders")
+    o = _orders(spark, sf)
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
     record = _quoted(
         F.col("o_orderkey"), day, "", "x", br_text(cents("o_totalprice")),
@@ -301,7 +304,7 @@ _HEADER_664 = (
 
 def report_664(spark, sf):
     """Orders are parent lines, their items are child lines below them."""
-    o, items = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    o, items = _orders(spark, sf), table(spark, sf, "lineitem")
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
     parents = o.select(
         _dataset("664").alias(FILE), F.col("o_orderkey").alias("at"),
@@ -399,7 +402,7 @@ from part"""
 
 def rejects(spark, sf):
     """Each year breaks its exports in another way; what is read and why not."""
-    o = table(spark, sf, "orders")
+    o = _orders(spark, sf)
     year = F.substring(FILE, 3, 4)
     urgent = F.col("o_orderpriority") == "1-URGENT"
     fields = [F.col("o_orderkey"), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit("01/02/2025")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,46 +175,48 @@ class Parsed:
 def parse_report(lines: DataFrame, report: Report, file: str = TABLE) -> Parsed:
     """Carve and parse all files of one report kind at once.
 
-    Results that several steps read are written on the way: the marker lines, the block
-    lines with their quote maps, and the parsed records.  So the raw text is read twice
-    and shuffled once, whatever its size.
+    Results that several steps read are written on the way, so the raw text is read
+    twice and shuffled once, whatever its size.  Small results that are joined with the
+    text (block bounds, quote exceptions, rejected files) are written too: their size is
+    then known, and Spark broadcasts them or, above its threshold, does not.
     """
     columns = report.columns or _one(**{c: c for c in _business(report)})
     rename = None if report.columns else text.column_name
     markers = written(
         reports.marker_lines(lines, file, report.header, report.stops), "markers"
     )
-    bounds = reports.block_bounds(markers, file)
-    block = reports.carve_block(lines, bounds, file)
-    maps = written(reports.quote_maps(block, file), "lines")
-    records, unclosed = reports.logical_records(reports.quote_states(maps, file), file)
+    bounds = written(reports.block_bounds(markers, file), "bounds")
+    maps = written(reports.quote_maps(reports.carve_block(lines, bounds, file), file), "lines")
+    odd = written(reports.quote_exceptions(maps, file), "quotes")
+    records = reports.logical_records(reports.quote_states(maps, odd, file), file)
     parsed = written(reports.parse_records(records, file), "records")
     at = reports.header_positions(bounds, file, columns, rename=rename)
+    rejects = written(_rejects(lines, bounds, odd, parsed, at, report, file), "rejects")
+    return Parsed(
+        parsed.join(rejects.select(file), file, "left_anti"), at, list(columns), rejects
+    )
 
-    files = lines.select(file).distinct()
-    heads = bounds.select(file)
-    no_header = files.join(heads, file, "left_anti")
+
+def _rejects(
+    lines: DataFrame, bounds: DataFrame, odd: DataFrame, parsed: DataFrame, at: DataFrame,
+    report: Report, file: str,
+) -> DataFrame:
+    """Files that are not read: ``(file, reason)``, one row each."""
     bad = reports.unreadable_files(parsed, at, file).unionByName(
-        _because(unclosed, reports.OPEN_QUOTE)
+        _because(reports.unclosed_files(odd, file), reports.OPEN_QUOTE)
     )
     if report.fill:
-        lacking = at.where(
-            F.exists(
-                F.array(*[F.col(f"at.`{c}`") for c in (*report.fill, *report.need)]),
-                lambda p: p.isNull(),
-            )
-        )
+        absent = [F.col(f"at.`{c}`").isNull() for c in (*report.fill, *report.need)]
+        lacking = at.where(reduce(lambda a, b: a | b, absent)).select(file)
         bad = bad.unionByName(
-            _because(lacking.select(file).join(bad.select(file), file, "left_anti"), MISSING_PARENT)
+            _because(lacking.join(bad.select(file), file, "left_anti"), MISSING_PARENT)
         )
-    read = parsed.select(file).distinct().unionByName(bad.select(file))
-    no_data = heads.join(read, file, "left_anti")
-    rejects = (
-        bad.unionByName(_because(no_header, reports.NO_HEADER))
-        .unionByName(_because(no_data, reports.NO_DATA))
-    )
-    return Parsed(
-        parsed.join(bad.select(file), file, "left_anti"), at, list(columns), rejects
+    heads = bounds.select(file)
+    no_header = lines.select(file).distinct().join(heads, file, "left_anti")
+    seen = parsed.select(file).distinct().unionByName(bad.select(file))
+    no_data = heads.join(seen, file, "left_anti")
+    return bad.unionByName(_because(no_header, reports.NO_HEADER)).unionByName(
+        _because(no_data, reports.NO_DATA)
     )
 
 

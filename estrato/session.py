@@ -53,7 +53,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small input before costly work per row.
+    """Give every core a share of a small table, as it is read, before costly work per row.
 
     An input that already has a partition per core is left as it is, so on large data
     nothing is shuffled.

@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from estrato.functions.text import dataset_name
+from estrato.functions.text import BOM, dataset_name
 from estrato.operators import reports
 from estrato.session import written
 from estrato.sources.paths import escaped, matching, plain_name
@@ -28,7 +28,8 @@ def text_lines(
 
     Files are split: a file of any size is read by many tasks.  A line knows its split
     (``file_block_start``) and its place in it; the number of lines in the splits before
-    gives the rest, from an aggregate with one row per split.  A file whose lines are
+    gives the rest, from an aggregate with one row per split.  That small table is
+    written, so its known size decides how it is joined with the lines.  A file whose lines are
     all valid UTF-8 is UTF-8, any other is Latin-1, so no byte is lost.  The reader
     removes a byte order mark at the start of a file.
     """
@@ -52,6 +53,7 @@ def text_lines(
         (F.coalesce(F.sum("_n").over(above), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
         F.min("_valid").over(in_file).alias("_utf8"),
     )
+    offsets = written(offsets, "splits")
     latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     return lines.join(offsets, ["_path", "_split"]).select(
         (F.col("_at") + F.col("_shift")).alias("line_no"),
@@ -118,15 +120,19 @@ def header_csv(
     that a strict CSV reader refuses, is rejected as a whole with the reason.
     """
     lines = text_lines(spark, path, glob).drop(FILE)
-    heads = lines.where("line_no = 1").select(
-        "_path",
-        F.col("line_no").alias("header_line"),
-        F.ltrim(F.col("raw_line"), F.lit(chr(0xFEFF))).alias("header"),
-        F.lit(None).cast("long").alias("stop_line"),
+    heads = written(
+        lines.where("line_no = 1").select(
+            "_path",
+            F.col("line_no").alias("header_line"),
+            F.ltrim(F.col("raw_line"), F.lit(BOM)).alias("header"),
+            F.lit(None).cast("long").alias("stop_line"),
+        ),
+        "csv-heads",
     )
     block = reports.carve_block(lines, heads, "_path")
     maps = written(reports.quote_maps(block, "_path", sep), "csv-lines")
-    records, unclosed = reports.logical_records(reports.quote_states(maps, "_path"), "_path")
+    odd = written(reports.quote_exceptions(maps, "_path"), "csv-quotes")
+    records = reports.logical_records(reports.quote_states(maps, odd, "_path"), "_path")
     parsed = written(reports.parse_records(records, "_path", sep), "csv-records")
     at = reports.header_positions(heads, "_path", {c: [c] for c in required}, sep)
     absent = F.array_compact(
@@ -134,7 +140,9 @@ def header_csv(
     )
     rejected = (
         reports.unreadable_files(parsed, at, "_path")
-        .unionByName(unclosed.withColumn("reason", F.lit(reports.OPEN_QUOTE)))
+        .unionByName(
+            reports.unclosed_files(odd, "_path").withColumn("reason", F.lit(reports.OPEN_QUOTE))
+        )
         .unionByName(
             at.select(
                 "_path",
@@ -145,6 +153,7 @@ def header_csv(
             .drop("_absent")
         )
     )
+    rejected = written(rejected, "csv-rejects")
     rows = reports.select_fields(parsed, at, "_path", required, na_tokens=()).join(
         rejected.select("_path"), "_path", "left_anti"
     )

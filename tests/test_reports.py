@@ -25,8 +25,10 @@ def parse(spark, files, header, stops=(), span=4):
     lines = bronze(spark, files)
     bounds = reports.block_bounds(reports.marker_lines(lines, FILE, header, stops), FILE)
     block = reports.carve_block(lines, bounds, FILE)
-    states = reports.quote_states(reports.quote_maps(block, FILE, span=span), FILE)
-    records, unclosed = reports.logical_records(states, FILE, span=span)
+    maps = reports.quote_maps(block, FILE, span=span)
+    odd = reports.quote_exceptions(maps, FILE)
+    records = reports.logical_records(reports.quote_states(maps, odd, FILE), FILE, span=span)
+    unclosed = reports.unclosed_files(odd, FILE)
     parsed = reports.parse_records(records, FILE)
     at = reports.header_positions(bounds, FILE, {c: [c] for c in ("a", "b", "c")})
     bad = reports.unreadable_files(parsed, at, FILE).unionByName(unclosed.withColumn("reason", F.lit("open_quote")))
