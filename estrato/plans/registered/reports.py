@@ -15,7 +15,8 @@ from estrato.plans import sales
 from estrato.plans.registered.common import (
     RUN_MICROS, RUN_TS, br_text, cents, cents_sql, money_sql, pick, pick_sql, plain, table,
 )
-from estrato.session import spread, written
+from estrato.session import spread, work_dir, written
+from estrato.sources.tables import write_reports
 
 END = 10**15
 FILE = "src_table"
@@ -294,6 +295,36 @@ select cast(o_orderkey as varchar) as id_venda, {_DAY} as data, {_NULL} as dt_ut
 from orders"""
 
 
+def sales_layers(spark, sf):
+    """Bronze by dataset, then silver by dataset, loaded twice: nothing doubles."""
+    o = _orders(spark, sf)
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    record = F.concat_ws(
+        ";", F.col("o_orderkey").cast("string"), day, day, F.lit("1"),
+        br_text(cents("o_totalprice")), F.col("o_orderpriority"), F.lit("p"), F.lit("e"), F.lit("t"),
+        F.lit("c"), F.col("o_orderstatus"),
+    )
+    records = o.select(
+        _dataset("418").alias(FILE), F.col("o_orderkey").alias("at"), record.alias("record")
+    )
+    header = "Conta;Data;Data Visita;Qtd;Valor;Produtos-Carrinho;Pessoa;Email;Telefone;Cidade;Motivo"
+    lines = _framed(records, F.lit(header), ['"Total";"9"'])
+    other = lines.withColumn(FILE, F.replace(F.col(FILE), F.lit("_418"), F.lit("_270")))
+    root = work_dir(spark, "sales")
+    write_reports(lines.unionByName(other), f"{root}/bronze", "overwrite")
+    for _ in range(2):
+        sales.load_silver(spark, f"{root}/bronze", f"{root}/silver", sales.CARTS_418, RUN_TS)
+    rows = sales.read_silver(spark, f"{root}/silver", sales.CARTS_418)
+    return plain(rows.select("id_venda", "data", "qtd", "vlr_total", "produto", "motivo", "fonte_tabela_bronze"))
+
+
+SALES_LAYERS = f"""
+select cast(o_orderkey as varchar) as id_venda, {_DAY} as data, cast(1 as bigint) as qtd,
+  {money_sql(cents_sql('o_totalprice'))} as vlr_total, o_orderpriority as produto,
+  o_orderstatus as motivo, {_dataset_sql('418')} as fonte_tabela_bronze
+from orders"""
+
+
 # ------------------------------------------------------------------- report 664
 
 _HEADER_664 = (
@@ -464,6 +495,7 @@ QUERIES = {
     "q_report_270": (report_270, REPORT_270),
     "q_report_418": (report_418, REPORT_418),
     "q_report_664": (report_664, REPORT_664),
+    "q_sales_layers": (sales_layers, SALES_LAYERS),
     "q_dimensions": (dimensions, DIMENSIONS),
     "q_report_rejects": (rejects, REJECTS),
     "q_report_audit": (report_audit, REPORT_AUDIT),

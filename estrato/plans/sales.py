@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +17,8 @@ from estrato.operators import reports
 from estrato.operators.ordered import forward_fill
 from estrato.operators.shape import align_to_schema, drop_empty_or_zero
 from estrato.session import written
-from estrato.sources.files import TABLE
-from estrato.sources.tables import datasets_with_suffix
+from estrato.sources.files import TABLE, raw_lines
+from estrato.sources.tables import datasets_with_suffix, write_reports
 
 Cast = Callable[[Column], Column]
 
@@ -274,3 +274,32 @@ def with_period(silver: DataFrame, report: Report) -> DataFrame:
     """Add ``ano_mes``, the period in the dataset name."""
     period = reports.period_of(F.col("fonte_tabela_bronze"), report.suffix)
     return silver.withColumn("ano_mes", period)
+
+
+def load_bronze(
+    spark: SparkSession, folder: str, bronze: str, *, batch_id: str, run_ts: datetime,
+    allow: Sequence[str] | None = None, origin: str | None = None, mode: str = "append",
+) -> None:
+    """Land the report files of a folder as raw lines, one dataset per file name."""
+    lines = raw_lines(
+        spark, folder, batch_id=batch_id, run_ts=run_ts, allow=allow, origin=origin
+    )
+    write_reports(lines, bronze, mode)
+
+
+def load_silver(
+    spark: SparkSession, bronze: str, silver: str, report: Report, run_ts: datetime,
+    test_email: str | None = None, mode: str = "overwrite",
+) -> DataFrame:
+    """Type all datasets of a report kind into its silver table; returns the rejects.
+
+    ``overwrite`` replaces the datasets that were read, so a second run doubles nothing;
+    ``append`` adds the rows again.
+    """
+    rows, rejects = silver_report(spark.read.parquet(bronze), report, run_ts, test_email)
+    write_reports(rows, silver, mode, by="fonte_tabela_bronze")
+    return rejects
+
+
+def read_silver(spark: SparkSession, silver: str, report: Report) -> DataFrame:
+    return spark.read.schema(report.schema).parquet(silver).select(*report.schema.names)

@@ -76,14 +76,16 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str]) -> int:
     return write_version(merge_upsert(target, source, keys), path)
 
 
-def write_reports(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Write report rows by ``src_table``.
+def write_reports(
+    df: DataFrame, path: str, mode: str = "append", by: str = "src_table"
+) -> None:
+    """Write report rows by dataset.
 
     ``overwrite`` replaces the datasets that are in ``df`` and leaves the others alone;
     ``append`` adds to them.  Rows are rebalanced by dataset: small datasets become one
     file, and one that holds a third of all rows is split over many tasks.
     """
-    writer = df.hint("rebalance", "src_table").write.mode(mode).partitionBy("src_table")
+    writer = df.hint("rebalance", by).write.mode(mode).partitionBy(by)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 

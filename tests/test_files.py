@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from conftest import RUN_TS
 
+from estrato.plans import sales, weather
 from estrato.sources.files import header_csv, new_batch_id, raw_lines
+from estrato.sources.tables import read_evolving
 from estrato.sources.relational import jdbc_options, terminal_ids
 
 
@@ -89,3 +91,43 @@ def test_odd_file_names(spark, tmp_path):
     assert sorted((r._source_file, r.raw_line, r.src_table) for r in df.collect()) == [
         ("a+b 100%.csv", "a+b 100%.csv", "a_b_100"), ("x[1]{y}.csv", "x[1]{y}.csv", "x_1_y"),
     ]
+
+
+def test_sales_files_to_silver(spark, tmp_path):
+    header = "Conta;Data;Data Visita;Qtd;Valor;Produtos-Carrinho;Pessoa;Email;Telefone;Cidade;Motivo"
+    row = "{};05/11/2025;06/11/2025;2;1.000,50;Passe;José;A@B.example;1;São Roque;m"
+    folder, bronze, silver = tmp_path / "in", str(tmp_path / "bronze"), str(tmp_path / "silver")
+    folder.mkdir()
+    (folder / "202511_418.csv").write_bytes("\r\n".join(["Título", header, row.format(1), row.format(2)]).encode("latin-1"))
+    (folder / "202512_418.csv").write_text("\n".join([header, row.format(3), '"Total Geral";1', row.format(9)]))
+    (folder / "202512_270.csv").write_text("no header")
+    for mode in ("append", "overwrite"):
+        sales.load_bronze(spark, str(folder), bronze, batch_id="b", run_ts=RUN_TS, mode=mode)
+    for _ in range(2):
+        rejects = sales.load_silver(spark, bronze, silver, sales.CARTS_418, RUN_TS)
+    rows = sales.read_silver(spark, silver, sales.CARTS_418)
+    assert sorted((r.id_venda, r.cliente, r.cidade, str(r.vlr_total), r.fonte_tabela_bronze) for r in rows.collect()) == [
+        ("1", "José", "São Roque", "1000.50", "t_202511_418"), ("2", "José", "São Roque", "1000.50", "t_202511_418"),
+        ("3", "José", "São Roque", "1000.50", "t_202512_418"),
+    ]
+    assert rejects.count() == 0
+    rejects = sales.load_silver(spark, bronze, silver + "270", sales.SALES_270, RUN_TS)
+    assert [tuple(r) for r in rejects.collect()] == [("t_202512_270", "no_header")]
+
+
+def test_weather_history_files(spark, tmp_path):
+    names = ["id", "data_scrap", "hora_scrap", "origem", "cidade", "total_dias", "bloco", "data_previsao", "tempmin",
+             "tempmax", "sensacao_termica", "sensacao_sombra", "ind_max_uv", "vento", "probab_chuva", "relatorio"]
+    (tmp_path / "h.csv").write_text(";".join(names) + "\n" + ";".join(f'"{n[:3]}"' for n in names) + "\n")
+    (tmp_path / "bad.csv").write_text(";".join(names[1:]) + "\n")
+    rows, rejected = weather.history_rows(spark, str(tmp_path), RUN_TS)
+    row = rows.first()
+    assert (row.source_id, row.ingestion_type, row.ingestion_batch, row.relatorio) == ("id", "bootstrap_csv", "h.csv", "rel")
+    assert [tuple(r) for r in rejected.collect()] == [("bad.csv", "missing columns: id")]
+
+
+def test_a_table_may_gain_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("select 1 as a").write.mode("append").parquet(path)
+    spark.sql("select 2 as a, 'x' as teste").write.mode("append").parquet(path)
+    assert sorted(tuple(r) for r in read_evolving(spark, path).select("a", "teste").collect()) == [(1, None), (2, "x")]
