@@ -215,11 +215,15 @@ def is_well_formed(record: Column, sep: str = ";") -> Column:
     return F.when(F.contains(record, F.lit('"')), strict).otherwise(F.lit(True))
 
 
-def parse_records(records: DataFrame, file: str, sep: str = ";") -> DataFrame:
-    """``(file, line_no, fields, strict)``: every field as text, empty fields kept."""
+def parse_records(
+    records: DataFrame, file: str, sep: str = ";", na_tokens: Sequence[str] = CSV_NA
+) -> DataFrame:
+    """``(file, line_no, fields, strict)``: every field as text, NA tokens as NULL."""
+    fields = fields_of(F.col(RAW), sep)
+    if na_tokens:
+        fields = F.transform(fields, lambda f: na_to_null(f, na_tokens))
     return records.select(
-        file, LINE, fields_of(F.col(RAW), sep).alias("fields"),
-        is_well_formed(F.col(RAW), sep).alias("strict"),
+        file, LINE, fields.alias("fields"), is_well_formed(F.col(RAW), sep).alias("strict")
     )
 
 
@@ -267,25 +271,16 @@ def unreadable_files(parsed: DataFrame, positions: DataFrame, file: str) -> Data
 
 
 def select_fields(
-    parsed: DataFrame, positions: DataFrame, file: str, names: Sequence[str],
-    na_tokens: Sequence[str] = CSV_NA,
+    parsed: DataFrame, positions: DataFrame, file: str, names: Sequence[str]
 ) -> DataFrame:
-    """Named text columns of the parsed records; missing columns and NA tokens are NULL."""
-
-    def value(name: str) -> Column:
-        text = F.get(F.col("fields"), F.col(f"at.`{name}`"))
-        return (na_to_null(text, na_tokens) if na_tokens else text).alias(name)
-
-    return parsed.join(positions.select(file, "at"), file).select(
-        file, LINE, *[value(n) for n in names]
-    )
+    """Named text columns of the parsed records; a column the file lacks is NULL."""
+    values = [F.expr(f"get(fields, at.`{n}`) as `{n}`") for n in names]
+    return parsed.join(positions.select(file, "at"), file).select(file, LINE, *values)
 
 
-def drop_empty_records(parsed: DataFrame, na_tokens: Sequence[str] = CSV_NA) -> DataFrame:
-    """Drop records in which every field is an NA token (the first field is tested alone
-    before the others, as it is filled in most records)."""
-    filled = ~F.get(F.col("fields"), F.lit(0)).isin(*na_tokens)
-    return parsed.where(filled | F.exists("fields", lambda f: ~f.isin(*na_tokens)))
+def drop_empty_records(parsed: DataFrame) -> DataFrame:
+    """Drop records in which every field is NULL."""
+    return parsed.where(F.exists("fields", lambda f: f.isNotNull()))
 
 
 def period_of(name: Column, suffix: str) -> Column:

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from estrato.functions.text import column_name, dataset_name
 from estrato.operators.reports import period_of
 from estrato.plans.registered.common import pick, pick_sql, table
-from estrato.session import work_dir
+from estrato.session import spread, work_dir
 from estrato.sources.files import header_csv, lines_of_text, text_lines
 
 
 def raw_lines_of_text(spark, sf):
-    docs = table(spark, sf, "documents").withColumn("text", F.concat("text", F.lit("\n")))
+    docs = spread(table(spark, sf, "documents"))
+    docs = docs.withColumn("text", F.concat("text", F.lit("\n")))
     return lines_of_text(docs, "doc_id", "text")
 
 

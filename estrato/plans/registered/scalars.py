@@ -15,6 +15,7 @@ from estrato.plans.registered.common import (
     br_text, cents, cents_sql, money, money_sql, pick, pick_sql, plain, table,
 )
 from estrato.plans.weather import SOURCES
+from estrato.session import spread
 from estrato.sources.relational import terminal_ids
 
 
@@ -382,7 +383,7 @@ def drop_zero(spark, sf):
         F.col("l_partkey"), F.concat(tenths, F.lit("%")), F.concat(tenths, F.lit(",00 ")),
         F.lit(" null"), F.lit(None), F.lit("Produto"),
     )
-    rows = table(spark, sf, "lineitem").select(
+    rows = spread(table(spark, sf, "lineitem")).select(
         "l_orderkey", "l_linenumber", "l_partkey", raw.alias("discount")
     )
     return drop_empty_or_zero(rows, ["discount"])

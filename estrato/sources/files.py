@@ -133,7 +133,9 @@ def header_csv(
     maps = written(reports.quote_maps(block, "_path", sep), "csv-lines")
     odd = written(reports.quote_exceptions(maps, "_path"), "csv-quotes")
     records = reports.logical_records(reports.quote_states(maps, odd, "_path"), "_path")
-    parsed = written(reports.parse_records(records, "_path", sep), "csv-records")
+    parsed = written(
+        reports.parse_records(records, "_path", sep, na_tokens=()), "csv-records"
+    )
     at = reports.header_positions(heads, "_path", {c: [c] for c in required}, sep)
     absent = F.array_compact(
         F.array(*[F.when(F.col(f"at.`{c}`").isNull(), F.lit(c)) for c in required])
@@ -154,7 +156,7 @@ def header_csv(
         )
     )
     rejected = written(rejected, "csv-rejects")
-    rows = reports.select_fields(parsed, at, "_path", required, na_tokens=()).join(
+    rows = reports.select_fields(parsed, at, "_path", required).join(
         rejected.select("_path"), "_path", "left_anti"
     )
     name = plain_name(F.element_at(F.split("_path", "/"), -1)).alias(FILE)
