@@ -232,7 +232,7 @@ select cast(o_orderkey as varchar) as id_venda, {_NULL} as loc_vhf,
   o_orderpriority as produto, '1234.50' as vlr_unid, {money_sql(cents_sql('o_totalprice'))} as vlr_total,
   o_orderstatus as status, {_NULL} as entregue, {_NULL} as forma_pagamento, {_NULL} as usuario,
   {_NULL} as dt_utilizacao, {_NULL} as dt_baixa, {_NULL} as nsu,
-  case when parcels = '1.0' then 1 end as qtd_parcelas, {_NULL} as prazo_recebimento,
+  cast(case when parcels = '1.0' then 1 end as bigint) as qtd_parcelas, {_NULL} as prazo_recebimento,
   {_NULL} as pedido_esolution, {_NULL} as dt_integracao, {RUN_MICROS} as ingested_at,
   {_dataset_sql('182')} as fonte_tabela_bronze, strftime(o_orderdate, '%Y%m') as ano_mes
 from sale"""

@@ -31,12 +31,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
     Only a local session may fall back to a folder of this machine.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="estrato-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/estrato/{label}-{uuid.uuid4().hex}"
 
 
@@ -52,11 +53,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small table, as it is read, before costly work per row.
+def spread(df: DataFrame, most: int = 8) -> DataFrame:
+    """Give more cores a share of a small table, as it is read, before costly work per row.
 
-    An input that already has a partition per core is left as it is, so on large data
-    nothing is shuffled.
+    A partition is split into ``most`` parts at most, and an input that already has a
+    partition per core is left as it is, so on large data nothing is shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = df.rdd.getNumPartitions()
+    return df.repartition(min(cores, most * parts)) if parts < cores else df

@@ -29,9 +29,24 @@ def spark_rows(df):
     return _sorted(df.columns, [tuple(r) for r in df.collect()])
 
 
-def duck_rows(sf_dir: str, sql: str):
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
+
+
+def spark_types(df):
+    return {name: _TYPES.get(kind, kind) for name, kind in df.dtypes}
+
+
+def _connect(sf_dir: str):
     con = duckdb.connect()
     for f in Path(sf_dir).glob("*.parquet"):
         con.execute(f"create view {f.stem} as select * from read_parquet('{f}')")
-    cur = con.execute(sql)
+    return con
+
+
+def duck_rows(sf_dir: str, sql: str):
+    cur = _connect(sf_dir).execute(sql)
     return _sorted([d[0] for d in cur.description], cur.fetchall())
+
+
+def duck_types(sf_dir: str, sql: str):
+    return {r[0]: r[1] for r in _connect(sf_dir).execute(f"describe {sql}").fetchall()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import pytest
 from conftest import RUN_TS
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from estrato.operators.incremental import (
     get_watermark, insert_new, merge_upsert, set_watermark, watermark_row,
 )
 from estrato.plans import access, weather
+from estrato.session import work_dir
 from estrato.sources.tables import (
     append_batch, append_new, read_appended, read_current, truncate, upsert, versions, write_version,
 )
@@ -188,3 +190,22 @@ def test_stream_reads_each_file_once(spark, tmp_path):
 
 def test_append_batch_counts_without_a_second_scan(spark, tmp_path):
     assert append_batch(spark.range(7), str(tmp_path / "t"), "1") == 7
+
+
+class _Cluster:
+    """What ``work_dir`` asks of a session, on a cluster without a shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_scratch_folder(spark):
+    assert "/estrato/x-" in work_dir(spark, "x")
+    with pytest.raises(ValueError):
+        work_dir(_Cluster, "x")
+    _Cluster.sparkContext.getCheckpointDir = staticmethod(lambda: "hdfs://n/ck")
+    assert work_dir(_Cluster, "x").startswith("hdfs://n/ck/estrato/x-")

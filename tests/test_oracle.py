@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from conftest import SF
-from oracle import duck_rows, spark_rows
+from oracle import duck_rows, duck_types, spark_rows, spark_types
 
 from estrato.plans.registered import all_queries
 
@@ -22,3 +22,4 @@ def test_query_matches_sql(spark, name):
     assert rows, "a query over the test tables returns rows"
     assert sql is not None
     assert (columns, rows) == duck_rows(SF, sql)
+    assert spark_types(df) == duck_types(SF, sql)
