@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from estrato.functions.text import EMPTY_TOKENS, na_to_null, strip
+from estrato.functions.text import EMPTY_TOKENS, strip
 
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -42,8 +42,15 @@ def digit_text_int(c: Column) -> Column:
     return F.when(c.rlike("^[0-9]+$"), c.try_cast("int"))
 
 
+# Zero with any ``%`` and ``.`` in it, which are dropped, and ``,`` as the decimal mark.
+_ZERO = r"[%.]*[+-]?[%.]*(?:0[0%.]*(?:,[0%.]*)?|,[%.]*0[0%.]*)(?:[eE][%.]*[+-]?[0-9%.]*[0-9][%.]*)?\s*[%.]*"
+
+
 def is_empty_or_zero(c: Column) -> Column:
-    """True for NULL, blank and NA tokens, and for 0 after ``%`` and dots are dropped."""
-    text = na_to_null(strip(c), EMPTY_TOKENS)
-    number = _number(_plain(F.replace(text, F.lit("%"), F.lit(""))))
-    return text.isNull() | (F.coalesce(number, F.lit(1.0)) == 0)
+    """True for NULL, blank and NA tokens, and for 0 after ``%`` and dots are dropped.
+
+    One pattern on one reference of the column: in a filter Spark puts the expression
+    behind the column in the place of every reference to it.
+    """
+    tokens = "|".join(EMPTY_TOKENS)
+    return F.coalesce(strip(c), F.lit("")).rlike(f"^(?:{tokens}|{_ZERO})$")
