@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from estrato.llm.common import table
 
@@ -19,6 +18,70 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.mixing import cyclic_weight, mix, ranked_sources
+
+    def weight(sources: DataFrame) -> DataFrame:
+        return ranked_sources(sources).withColumn("weight", cyclic_weight(3, 1, 2)).drop("rank")
+
+    mixed = mix(table(spark, sf_dir, "documents"), weight)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The water level is that of the first k sources, in order of cap by weight, at their cap
+#: for which the next source is below its own.
+OP2_SQL = r"""
+with rows as (
+  select doc_id, source, md5('mix:' || coalesce(cast(doc_id as varchar), 'null')) as k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+  from documents
+), src as (
+  select source, sum(size)::bigint as source_size,
+    [3, 1, 2][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w
+  from rows group by source
+), lv as (
+  select *, row_number() over o2 as k, coalesce(sum(2 * source_size) over o, 0)::bigint as c,
+    (select sum(w) from src)::bigint - coalesce(sum(w) over o, 0)::bigint as rest_w
+  from src
+  window o as (order by 2.0 * source_size / w, source nulls last rows between unbounded preceding and 1 preceding),
+    o2 as (order by 2.0 * source_size / w, source nulls last)
+), level as (
+  select arg_min((1.5::double * (select sum(source_size) from src)::double - c::double) / rest_w::double, k) as l
+  from lv
+  where (1.5::double * (select sum(source_size) from src)::double - c::double) / rest_w::double * w < 2.0::double * source_size
+), goal as (
+  select source, source_size, least(2.0::double * source_size, l * w) as target
+  from src, level
+), cut as (
+  select *, case when source_size > 0 then floor(round(target) / source_size)::bigint else 0 end as whole
+  from goal
+), placed as (
+  select doc_id, size, source_size, target, whole, round(target)::bigint - whole * source_size as rest,
+    coalesce(sum(size) over (partition by r.source order by k, size rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from rows r join cut c on r.source is not distinct from c.source
+)
+select doc_id, size, source_size, target,
+  (size * whole + greatest(0, least(size, rest - start)))::bigint as taken
+from placed
+"""
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.simhash import hex_of, near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_of().alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op2_mixing": (op2_mixing, OP2_SQL),
     "op5_token_counts": (op5_token_counts, None),
+    "op8_packing": (op8_packing, None),
+    "op9_simhash": (op9_simhash, None),
 }
