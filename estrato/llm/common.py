@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estrato.session import written
+
 #: Words are runs of anything but space and the five ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,3 +49,17 @@ def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
         return df
     share = int(most / rows * 2**31)
     return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(2**31)) < share)
+
+
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, parts: int, held: int, most: int
+) -> DataFrame:
+    """(doc_id, y, text): about ``most`` training rows at most, in a scratch table.
+
+    The ids are a bounded sample, so their broadcast is bounded too.  An id with several
+    texts teaches with one of them, the one with the least hash.
+    """
+    ids = written(bounded_sample(training_labels(labels, label, parts, held), "doc_id", most), "labels")
+    rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id")
+    one = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    return written(one, "labelled")

@@ -6,11 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estrato.llm.common import table
+from estrato.llm.common import is_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    scored = quality.quality_scores(docs, model)
+    return scored.select(
+        "doc_id", is_fold("doc_id", quality.FOLDS, quality.HELD_OUT).alias("held_out"), "score", "predicted"
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.toxicity_scores(docs, model)
+    held = is_fold("doc_id", toxicity.FOLDS, toxicity.HELD_OUT).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted", "terms", "nearest")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from estrato.llm.token_count import token_counts
 
@@ -66,6 +87,19 @@ from placed
 """
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.decontamination import leaks
+
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.substring_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from estrato.llm.packing import pack
 
@@ -79,9 +113,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_of().alias("fingerprint"), "component_id")
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_quality": (op1_quality, None),
     "op2_mixing": (op2_mixing, OP2_SQL),
+    "op3_toxicity": (op3_toxicity, None),
     "op5_token_counts": (op5_token_counts, None),
+    "op6_decontamination": (op6_decontamination, None),
+    "op7_substrings": (op7_substrings, None),
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
+    "op10_embeddings": (op10_embeddings, None),
 }
