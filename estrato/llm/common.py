@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from estrato.session import written
 
+#: Most that a checked side of a join may take in each executor.
+BROADCAST_BYTES = 8 << 20
 #: Words are runs of anything but space and the five ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -63,3 +65,9 @@ def labelled_texts(
     rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id")
     one = rows.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     return written(one, "labelled")
+
+
+def checked_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A hint to broadcast ``df``, a written table, if its counted rows stay below
+    ``BROADCAST_BYTES``; beyond it joins shuffle."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df

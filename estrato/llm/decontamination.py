@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import whole_text
+from estrato.llm.common import checked_broadcast, whole_text
 from estrato.session import written
 
 WINDOW = 5
@@ -104,7 +104,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     same text each.  Empty tables give an empty one.
     """
     asked = written(benchmark_windows(benchmark), "benchmark-windows")
-    hashes = written(asked.select("hash").distinct(), "benchmark-hashes")
+    hashes = checked_broadcast(written(asked.select("hash").distinct(), "benchmark-hashes"), 16)
     least = asked.agg(F.min(F.ceil(F.col("windows") * similarity))).first()[0]
     rows = _key(docs.select("doc_id", "text"))
     words = rows.select("doc_id", "_text", template_words(marked(whole_text())).alias("_t"))
@@ -113,6 +113,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     )
     met = each.join(hashes, "hash", "left_semi").groupBy("doc_id", "_text").agg(F.count("*").alias("n"))
     met = written(met.where(F.col("n") >= F.lit(least or 1)).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")), "candidates")
+    met = checked_broadcast(met, 24)
     same = rows["doc_id"].eqNullSafe(met["_id"]) & (rows["_text"] == met["_hash"])
     candidates = rows.join(met, same, "left_semi").dropDuplicates(["doc_id", "_text"])
     windows = _aligned_windows(candidates, "doc_id", "_text", "text")
@@ -137,6 +138,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns."""
-    bad = written(leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), "text_hash").distinct(), "leaks")
-    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(whole_text()) == bad["text_hash"])
+    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    bad = checked_broadcast(written(bad, "leaks"), 24)
+    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
     return docs.join(bad, same, "left_anti")

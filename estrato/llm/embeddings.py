@@ -210,6 +210,20 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.drop("blocks", "shares").repartition(*group).sortWithinPartitions(*group, "role", "node")
 
 
+def least_reached(n: int, a, b):
+    """The least index reachable from each of n nodes over the links a-b."""
+    import numpy as np
+
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, a, label[b])
+        np.minimum.at(label, b, label[a])
+        label = label[label]
+        if np.array_equal(label, before):
+            return label
+
+
 class _Block:
     """The members of a block, and what its lookers have linked so far."""
 
@@ -229,8 +243,6 @@ class _Block:
         """Counts and links of lookers: (node, links, linked node)."""
         import numpy as np
 
-        from estrato.llm.simhash import _least_reached
-
         near = rows["x"] @ self.x.T >= least
         near &= rows["node"][:, None] != self.node[None]
         credit = near @ self.copies
@@ -238,7 +250,7 @@ class _Block:
         one_sided = (self.seen[m] != rows["home"][p].astype(np.int32)[:, None]).all(1)
         np.add.at(self.credit, m[one_sided], rows["copies"][p[one_sided]])
         n = len(self.node)
-        reach = _least_reached(n + len(near), np.r_[self.label, m], np.r_[np.arange(n), p + n])
+        reach = least_reached(n + len(near), np.r_[self.label, m], np.r_[np.arange(n), p + n])
         linked = np.flatnonzero(credit)
         to = self.node[reach[n + linked]] if len(linked) else self.node[:0]
         self.label = reach[:n]

@@ -170,3 +170,21 @@ def mix(
         *names, "source_size", "target", "whole", "part",
         (F.col("size") * F.col("whole") + F.col("part")).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, weight: Callable[[DataFrame], DataFrame], **options) -> DataFrame:
+    """``docs`` as the mix takes them, with all their columns: a row for each repetition.
+
+    The document on a source's cut is taken as an excerpt, its first ``part`` words with
+    single blanks; ``n_chars``, if it is a column, is that of the excerpt.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    took = mix(docs.select("doc_id", "source", "text", whole), weight, keep=("_row",), **options)
+    times = F.col("whole") + F.when(F.col("part") > 0, 1).otherwise(0)
+    rows = took.where(times > 0).withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    cut = (F.col("_time") > F.col("whole")) & (F.col("part") < F.col("size"))
+    words = F.regexp_extract_all(F.col("_row.text"), F.lit(f"({WORD})"), 1)
+    excerpt = F.array_join(F.slice(words, F.lit(1), F.col("part").cast("int")), " ")
+    text = F.when(cut, excerpt).otherwise(F.col("_row.text"))
+    made = {"text": text, "n_chars": F.when(cut, F.length(text)).otherwise(F.col("_row.n_chars")).cast(dict(docs.dtypes).get("n_chars", "long"))} if "n_chars" in docs.columns else {"text": text}
+    return rows.select(*[made.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -1,31 +1,37 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-Fingerprints that differ in at most ``3 + 2 - 1 = 4`` of 64 bits, cut into three segments,
-have a segment that differs in at most one bit.  Each distinct fingerprint is indexed under
-its segments with one bit blanked out (64 variants); two such fingerprints share a variant.
-Fingerprints of one variant are compared bit by bit, and a group gives back links to the
-least fingerprint of what it connects, so a group of thousands gives thousands of links, not
-their square.  Copies share a fingerprint and are compared once.
+To link fingerprints that differ in at most ``most`` of 64 bits they are cut into
+``most // 2 + 1`` segments, as few as leave one that differs in at most one bit.  Each
+distinct fingerprint is indexed under its segments with one bit blanked out (64 variants);
+two such fingerprints share a variant.  Fingerprints of one variant are compared bit by bit,
+and a large group gives back a spanning forest of its links, so a group of thousands gives
+thousands of links, not their square.  Copies share a fingerprint and are compared once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import whole_text
+from estrato.llm.common import WORD, checked_broadcast, whole_text
 from estrato.llm.components import components
 from estrato.session import written
 
-#: First bit and number of bits of the segments.
-SEGMENTS = ((0, 21), (21, 22), (43, 21))
 MOST_BITS = 4
 SHINGLE = 4
 SEED = 42
-#: Groups up to this size are compared by shifted columns, larger ones node by node.
-SHIFTED = 64
+#: Groups up to this size give back every link, larger ones a spanning forest.
+SHIFTED = 16
+BLOCK = 256
+
+
+def segments(most: int) -> list[tuple[int, int]]:
+    """First bit and number of bits of the segments for ``most`` differing bits."""
+    count = most // 2 + 1
+    edges = [round(64 * i / count) for i in range(count + 1)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def fingerprint_of(text: bytes, size: int = SHINGLE) -> int:
@@ -68,112 +74,91 @@ def fingerprints(docs: DataFrame, keep: list[str], size: int = SHINGLE) -> DataF
     return rows.mapInArrow(run, out)
 
 
-def variants(fps: DataFrame) -> DataFrame:
+def variants(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
     """(key, fp): the 64 one-wildcard segment variants of each distinct fingerprint."""
     value = F.lit(None)
-    for start, bits in SEGMENTS:
+    for start, bits in segments(most):
         segment = F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << bits) - 1))
         blank = F.expr(f"~shiftleft(1L, bit - {start})")
         value = F.when(F.col("bit").between(start, start + bits - 1), segment.bitwiseAND(blank)).otherwise(value)
     each = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
-    return each.select((F.shiftleft(F.col("bit").cast("long"), 22) + value).cast("int").alias("key"), "fp")
+    width = max(bits for _, bits in segments(most))
+    return each.select((F.shiftleft(F.col("bit").cast("long"), width) + value).alias("key"), "fp")
 
 
-def _least_reached(n: int, a, b):
-    """The least index reachable from each of n nodes over the links a-b."""
+def _forest(bits, most: int):
+    """Places (a, b) of links that connect what all links of a large group do."""
     import numpy as np
 
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, a, label[b])
-        np.minimum.at(label, b, label[a])
-        label = label[label]
-        if np.array_equal(label, before):
-            return label
-
-
-def _reach(fp, most: int):
-    """The least index reachable from each of a large group, node by node."""
-    import numpy as np
-
-    fp = fp.view(np.uint64)  # the bits of a signed number are those of its absolute value
-    label = np.full(len(fp), -1)
-    left = np.arange(len(fp))
-    while len(left):
-        root, todo = left[0], [left[0]]
-        label[root] = root
-        left = left[1:]
-        while todo and len(left):
-            near = np.bitwise_count(fp[left] ^ fp[todo.pop()]) <= most
-            if near.any():
-                found = left[near]
-                label[found] = root
-                todo.extend(found)
-                left = left[~near]
-    return label
+    n, label, a, b = len(bits), np.arange(len(bits)), [], []
+    for at in range(0, n, BLOCK):
+        near = np.bitwise_count(bits[at : at + BLOCK, None] ^ bits[None, : at + BLOCK]) <= most
+        near &= np.arange(near.shape[1]) < np.arange(at, at + len(near))[:, None]
+        for i in np.flatnonzero(near.any(1)):
+            linked = np.flatnonzero(near[i])
+            others, first = np.unique(label[linked], return_index=True)
+            a += [at + i] * len(others)
+            b += linked[first].tolist()
+            if len(others) > 1:
+                label[np.isin(label, others)] = others[0]
+            label[at + i] = others[0]
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
 def group_links(key, fp, most: int = MOST_BITS):
-    """Links (a, b) that connect what is within ``most`` bits in rows sorted by key, fp."""
+    """Links (a, b) that connect what is within ``most`` bits in rows sorted by key."""
     import numpy as np
 
     n = len(key)
-    if not n:
-        return fp, fp
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if n else np.empty(0, int)
     sizes = np.diff(np.r_[starts, n])
-    group = np.repeat(sizes, sizes)
-    a, b, bits = [], [], fp.view(np.uint64)
-    small = group <= SHIFTED
-    for k in range(1, int(min(sizes.max(), SHIFTED))):
-        i = np.flatnonzero(small[: n - k] & (key[k:] == key[: n - k]))
+    small = np.repeat(sizes, sizes) <= SHIFTED
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    bits = fp.view(np.uint64)  # the bits of a signed number are those of its absolute value
+    for k in range(1, SHIFTED):
+        i = np.flatnonzero(small[: n - k] & (key[k:] == key[: n - k])) if k < n else a[0]
         if not len(i):
             break
         i = i[np.bitwise_count(bits[i] ^ bits[i + k]) <= most]
         a.append(i)
         b.append(i + k)
-    label = np.arange(n)
-    if a:
-        label = _least_reached(n, np.concatenate(a), np.concatenate(b))
     for s, size in zip(starts[sizes > SHIFTED], sizes[sizes > SHIFTED], strict=True):
-        label[s : s + size] = s + _reach(fp[s : s + size], most)
-    found = np.flatnonzero(label != np.arange(n))
-    return fp[found], fp[label[found]]
+        x, y = _forest(bits[s : s + size], most)
+        a.append(s + x)
+        b.append(s + y)
+    return fp[np.concatenate(a)], fp[np.concatenate(b)]
 
 
-def _linked(batches: Iterator) -> Iterator:
-    """Links of a partition sorted by key; a group may go over several batches."""
-    import numpy as np
-    import pyarrow as pa
+def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
+    """Links (a, b) between distinct fingerprints; their components are those of all pairs
+    within ``most`` bits."""
 
-    held = (np.empty(0, np.int32), np.empty(0, np.int64))
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
-    def out(key, fp):
-        a, b = group_links(key, fp)
-        links = np.unique(np.stack([a, b], 1), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+        held = (np.empty(0, np.int64), np.empty(0, np.int64))  # a group may go over batches
 
-    for batch in batches:
-        key = np.concatenate([held[0], batch.column(0).to_numpy()])
-        fp = np.concatenate([held[1], batch.column(1).to_numpy()])
-        cut = np.searchsorted(key, key[-1]) if len(key) else 0
-        if cut:
-            yield out(key[:cut], fp[:cut])
-        held = (key[cut:], fp[cut:])
-    if len(held[0]):
-        yield out(*held)
+        def out(key, fp):
+            pairs = np.unique(np.sort(np.stack(group_links(key, fp, most), 1), 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
+        for batch in batches:
+            key = np.concatenate([held[0], batch.column(0).to_numpy()])
+            fp = np.concatenate([held[1], batch.column(1).to_numpy()])
+            cut = np.searchsorted(key, key[-1]) if len(key) else 0
+            if cut:
+                yield out(key[:cut], fp[:cut])
+            held = (key[cut:], fp[cut:])
+        if len(held[0]):
+            yield out(*held)
 
-def links(fps: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints; their components are those of all pairs
-    within four bits."""
-    dealt = variants(fps).repartition("key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(_linked, "a long, b long")
+    dealt = variants(fps, most).repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id) of each row: documents that links of at most four
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
+    """(doc_id, fp, component_id) of each row: documents that links of at most ``most``
     differing bits connect.
 
     ``component_id`` is the least doc_id of the component (null ids are passed over; null if
@@ -182,7 +167,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """
     rows = written(fingerprints(docs, ["doc_id"], size), "simhash")
     copies = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-copies")
-    rooted = components(links(copies.select("fp")))
+    rooted = components(links(copies.select("fp"), most))
     labelled = copies.join(rooted, copies["fp"] == rooted["node"], "left")
     labelled = labelled.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -190,5 +175,61 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
+    """Replace the text by ``set``, hashes of its distinct shingles (of all words if fewer)."""
+    words = F.regexp_extract_all(F.lower(whole_text()), F.lit(f"({WORD})"), 1)
+    last = F.greatest(F.size("w") - (size - 1), F.lit(1))
+    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("w", i, size)))
+    return rows.withColumn("w", words).withColumn("set", F.array_distinct(runs)).drop("w", "text")
+
+
+def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group, with all their columns.
+
+    A group is what links connect: fingerprints within ``most`` bits whose texts share at
+    least ``similarity`` of their distinct shingles (intersection by union), or equal texts.
+    The row with the least doc_id stays (null last), of rows that tie any one.  Null and
+    empty texts are copies of each other.  Columns named as the helper ones are kept.
+    """
+    helper = docs.select("doc_id", whole_text().alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = fingerprints(helper, ["doc_id", "hash"], size)
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
+    texts = written(rows.groupBy("fp", "hash").agg(F.min(order).alias("first"), F.count("*").alias("n")), "simhash-texts")
+    chosen = written(texts.groupBy("fp").agg(F.min("first").alias("chosen")), "simhash-chosen")
+    found = links(chosen.select("fp"), most).distinct()
+    side = chosen.select("fp", F.col("chosen.row").alias("row"))
+    pairs = found.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b").select("x", "y")
+    same = texts.join(chosen, "fp").where(F.col("first.row") != F.col("chosen.row"))
+    pairs = written(pairs.union(same.select("first.row", "chosen.row")), "simhash-pairs")
+
+    nodes = pairs.select("x").union(pairs.select("y")).distinct().toDF("row")
+    nodes = texts.join(nodes, texts["first.row"] == nodes["row"]).select("row", "first.doc_id", F.col("first.hash").alias("hash"))
+    nodes = checked_broadcast(written(nodes, "simhash-nodes").toDF("row", "_id", "_hash"), 24)
+    is_node = helper["doc_id"].eqNullSafe(nodes["_id"]) & (helper["hash"] == nodes["_hash"])
+    sets = _shingle_sets(helper.join(nodes, is_node).select("row", "text"), size).dropDuplicates(["row"])
+    sets = written(sets, "simhash-sets")
+    both = pairs.join(sets.toDF("x", "p"), "x").join(sets.toDF("y", "q"), "y")
+    shared = F.size(F.array_intersect("p", "q"))
+    alike = shared >= similarity * (F.size("p") + F.size("q") - shared)
+    rooted = components(both.where(alike).select("x", "y"))
+
+    grouped = texts.join(rooted, texts["first.row"] == rooted["node"], "left")
+    stay = grouped.groupBy(F.coalesce("root", F.col("first.row"))).agg(F.min("first").alias("first"))
+    stay = stay.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash"), F.lit(True).alias("_stays"))
+    keys = rows.groupBy("doc_id", "hash").agg(F.count("*").alias("n"))
+    marks = keys.join(stay, keys["doc_id"].eqNullSafe(stay["_id"]) & (keys["hash"] == stay["_hash"]), "left")
+    marks = marks.where(F.col("_stays").isNull() | (F.col("n") > 1))  # all but rows that just stay
+    marks = marks.select(F.col("doc_id").alias("_i"), F.col("hash").alias("_h"), F.coalesce("_stays", F.lit(False)).alias("_stays"))
+    marks = checked_broadcast(written(marks, "simhash-marks"), 24)
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("doc_id").alias("_id"), F.xxhash64(whole_text()).alias("_hash"),
+    )
+    met = whole.join(marks, whole["_id"].eqNullSafe(marks["_i"]) & (whole["_hash"] == marks["_h"]), "left")
+    several = met.where("_stays").dropDuplicates(["_id", "_hash"])
+    return met.where("_stays is null").unionByName(several).select("_row.*")
+
+
 def hex_of(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

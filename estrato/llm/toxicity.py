@@ -288,3 +288,10 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
     if held:
         scored = scored.withColumnRenamed("_text", "text")
     return scored.withColumn("predicted", (F.col("score") >= FLAG).cast("int"))
+
+
+def clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that aren't predicted toxic, with all their columns."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    scored = toxicity_scores(docs.select(whole, "text"), model, ("_row",))
+    return scored.where("predicted = 0").select("_row.*")

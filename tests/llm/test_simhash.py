@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 from estrato.llm.components import components
-from estrato.llm.simhash import fingerprint_of, links, near_duplicates
+from estrato.llm.simhash import fingerprint_of, links, near_duplicates, one_of_each
 
 
 def _fingerprint(text: str) -> int:
@@ -86,3 +86,25 @@ def test_documents(spark):
     got = [(r.doc_id, r.fp & ((1 << 64) - 1), r.component_id) for r in near_duplicates(docs).collect()]
     assert sorted(map(str, got)) == want
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [" ".join(rng.choices(vocabulary, k=rng.randint(80, 200))) for _ in range(60)]
+    near = [t + " one more" for t in base[:20]]  # far above 0.8, a few bits apart
+    rows = [(i, t, "en", 1) for i, t in enumerate(base)] + [(100 + i, t, "en", 2) for i, t in enumerate(near)]
+    rows += [(200, base[3], "de", 3), (200, base[3], "de", 3), (7, base[7], "x", 4), (None, base[9], "x", 5)]
+    rows += [(300, "", "x", 6), (301, None, "x", 7), (302, "short one", "x", 8), (303, "other one", "x", 9)]
+    rows += [(None, "only without an id " * 9, "x", 10), (None, "only without an id " * 9, "y", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash string, _stays int").repartition(3)
+    got = one_of_each(docs)
+    assert got.columns == docs.columns
+    stayed = [(r.doc_id, r.text) for r in got.collect()]
+    want = {(i, t) for i, t in enumerate(base)} | {(300, ""), (302, "short one"), (303, "other one"), (None, rows[-1][1])}
+    assert {x for x in stayed if x[0] is None or x[0] < 100 or x[0] >= 300} == want
+    assert len(stayed) == len(set(stayed))
+    # a near copy stays only where its fingerprint is further away than the bound
+    far = {100 + i for i, t in enumerate(near) if (fingerprint_of(t.encode(), 5) ^ fingerprint_of(base[i].encode(), 5)).bit_count() > 7}
+    assert {i for i, _ in stayed if i is not None and 100 <= i < 300} <= far and len(far) < 10
+    assert one_of_each(docs.limit(0)).count() == 0
