@@ -32,6 +32,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held, "score", "predicted", "terms", "nearest")
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm import lm
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = lm.learn(lm.training(docs))
+    scored = lm.score_texts(docs, model, counts)
+    return scored.withColumn("held_out", is_fold("doc_id", lm.FOLDS, lm.HELD_OUT))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from estrato.llm.token_count import token_counts
 
@@ -123,6 +132,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_quality": (op1_quality, None),
     "op2_mixing": (op2_mixing, OP2_SQL),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_lm_scores": (op4_lm_scores, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_decontamination": (op6_decontamination, None),
     "op7_substrings": (op7_substrings, None),
