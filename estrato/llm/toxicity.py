@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples.
 
 Terms are words and the first letters of words; those whose presence tells the labels apart
-(G-test over the examples) make the vectors.  Weights are (1 + ln tf) * idf, vectors have
+(G-test over the examples) make the vectors, with steps of how many of a text's words have a
+term that leans to the toxic ones.  Weights are (1 + ln tf) * idf, vectors have
 length one.  The examples with the highest cosine are found exactly by a block-max inverted
 index: the ids of the examples are cut into blocks, each term keeps its highest weight in a
 block, and blocks are looked into from the highest bound down until no bound reaches the
@@ -25,6 +26,8 @@ TERMS = 2_000
 #: Likelihood ratio from which a term tells the labels apart, for many thousands of terms.
 LEAST_G = 20.0
 PREFIX = 4
+#: Shares of words with a toxic-leaning term; each that a text reaches is a term of its own.
+RATES = (0.002, 0.005, 0.01, 0.015, 0.03)
 NEIGHBOURS = 15
 BLOCK = 64
 #: Weight of the rate of texts without terms among the votes.
@@ -57,8 +60,9 @@ def distinct_examples(rows: DataFrame) -> DataFrame:
     ).select("one.doc_id", "one.text", "y")
 
 
-def telling_terms(rows: DataFrame, most: int = TERMS) -> list[tuple[str, int]]:
-    """(term, rows that have it) of the terms that tell labels apart, by falling G."""
+def telling_terms(rows: DataFrame, most: int = TERMS) -> list[tuple[str, int, bool]]:
+    """(term, rows that have it, whether it leans to label 1) of the terms that tell labels
+    apart, by falling G."""
 
     def count(batches: Iterator) -> Iterator:
         from collections import Counter
@@ -93,16 +97,20 @@ def telling_terms(rows: DataFrame, most: int = TERMS) -> list[tuple[str, int]]:
 
     counts = counts.withColumn("g", 2 * (part("n0", 1 - p1) + part("n1", p1)))
     top = counts.where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").limit(most)
-    return [(r.term, r.n0 + r.n1) for r in top.collect()]
+    found = {r.term: r for r in top.collect()}
+    # a word says no more than its beginning if that tells the labels apart as well
+    stems = {t: r.g for t, r in found.items() if t.endswith("*")}
+    rows = [r for t, r in found.items() if stems.get(t[:PREFIX] + "*", -1.0) < r.g or t in stems]
+    return [(r.term, r.n0 + r.n1, r.n1 > p1 * (r.n0 + r.n1)) for r in rows]
 
 
 class BlockMaxIndex:
     """Examples as unit vectors, found by cosine through an inverted index in blocks."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]]):
+    def __init__(self, idf: dict[str, float], toxic: set[str], examples: list[tuple[int, int, dict[str, int]]]):
         import numpy as np
 
-        self.idf = idf
+        self.idf, self.toxic = idf, toxic
         self.short = {t[:-1] for t in idf if t.endswith("*")}
         examples = sorted(examples, key=lambda e: e[0])
         self.ids = [e[0] for e in examples]
@@ -122,14 +130,21 @@ class BlockMaxIndex:
             self.postings[term] = (at, weight, most, starts)
 
     def counts(self, text: str) -> dict[str, int]:
-        """How often the known terms occur in the whole text."""
+        """How often the known terms occur in the whole text, and the steps it reaches."""
         out: dict[str, int] = {}
-        idf, short = self.idf, self.short
-        for w in words_of(text):
-            if w in idf:
-                out[w] = out.get(w, 0) + 1
-            if w[:PREFIX] in short and len(w) > PREFIX:
-                out[w[:PREFIX] + "*"] = out.get(w[:PREFIX] + "*", 0) + 1
+        idf, short, hits = self.idf, self.short, 0
+        words = words_of(text)
+        for w in words:
+            start = w[:PREFIX]
+            if start not in short and w not in idf:
+                continue
+            found = [t for t in (w, start + "*" if len(w) > PREFIX else "") if t in idf]
+            for t in found:
+                out[t] = out.get(t, 0) + 1
+            hits += any(t in self.toxic for t in found)
+        for rate in RATES:
+            if hits >= rate * len(words) and hits:
+                out[f"~{rate}"] = 1
         return out
 
     def vector(self, tf: dict[str, int]) -> dict[str, float]:
@@ -192,20 +207,20 @@ def calibration(votes, y, rounds: int = 50) -> tuple[float, float]:
 class Model:
     """The index, the rate of texts without terms and the calibration."""
 
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, int, dict[str, int]]]):
+    def __init__(self, idf: dict[str, float], toxic: set[str], examples: list[tuple[int, int, dict[str, int]]]):
         import numpy as np
 
         blank = [y for _, y, tf in examples if not tf]
         total = [y for _, y, _ in examples]
         self.rate = (sum(blank) + 0.5) / (len(blank) + 1) if examples else 0.5
-        self.index = BlockMaxIndex(idf, [e for e in examples if e[2]])
-        votes, seen = [], {}
+        self.index = BlockMaxIndex(idf, toxic, [e for e in examples if e[2]])
+        votes = []
         for n, (_, _, tf) in enumerate(sorted((e for e in examples if e[2]), key=lambda e: e[0])):
             votes.append(self.index.vote(self.index.nearest(self.index.vector(tf), without=n), self.rate))
         votes += [self.rate] * len(blank)
         y = np.array([*self.index.label.tolist(), *blank], float)
         self.slope, self.shift = calibration(np.array(votes), y) if 0 < sum(total) < len(total) else (1.0, 0.0)
-        self.known: dict = seen
+        self.known: dict = {}
 
     def score(self, text: str):
         """(score, nearest): the nearest are (example id, label, cosine)."""
@@ -233,8 +248,10 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
 
     rows = written(distinct_examples(labelled_texts(docs, labels, label, FOLDS, HELD_OUT, most)), "examples")
     n = rows.count()
-    idf = {t: math.log((1 + n) / (1 + df)) + 1 for t, df in telling_terms(rows)}
-    empty = BlockMaxIndex(idf, [])
+    terms = telling_terms(rows)
+    toxic = {t for t, _, leans in terms if leans}
+    idf = {t: math.log((1 + n) / (1 + df)) + 1 for t, df, _ in terms}
+    empty = BlockMaxIndex(idf, toxic, [])
 
     def vectors(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -244,7 +261,11 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(tf, pa.map_(pa.string(), pa.int64()))], ["doc_id", "y", "tf"])
 
     got = rows.select("doc_id", "y", "text").mapInArrow(vectors, "doc_id long, y int, tf map<string,long>")
-    return Model(idf, [(r.doc_id, r.y, dict(r.tf)) for r in got.collect()])
+    examples = [(r.doc_id, r.y, dict(r.tf)) for r in got.collect()]
+    for step in (f"~{rate}" for rate in RATES):
+        df = sum(step in tf for _, _, tf in examples)
+        idf[step] = math.log((1 + n) / (1 + df)) + 1
+    return Model(idf, toxic, examples)
 
 
 SCORED = (
