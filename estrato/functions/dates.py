@@ -13,6 +13,9 @@ from estrato.functions.text import strip
 TIME_ZONE = "America/Sao_Paulo"
 
 _DAY_FIRST = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
+_SHORT_YEAR = r"^(\d{1,2}[/.-]\d{1,2}[/.-])(\d{2})(?!\d)"
+#: Two-digit years from here on are of the last century.
+LAST_CENTURY = 75
 _WALL_CLOCK = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?)?$"
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}(:\d{2}.*)?)?$"
 _BR_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
@@ -23,9 +26,17 @@ def _year_first(c: Column) -> Column:
     return F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1")
 
 
+def _full_year(c: Column) -> Column:
+    """A day-first date with its year in four digits."""
+    short = F.regexp_extract(c, _SHORT_YEAR, 2)
+    century = F.when(short >= f"{LAST_CENTURY}", "19").otherwise("20")
+    return F.when(short != "", F.regexp_replace(c, F.lit(_SHORT_YEAR), F.concat(F.lit("$1"), century, F.lit("$2")))).otherwise(c)
+
+
 def day_first_timestamp(c: Column) -> Column:
-    """``31/12/2025 10:20[:30]`` or ISO as a wall-clock timestamp, NULL if neither."""
-    s = _year_first(strip(c))
+    """``31/12/2025 10:20[:30]``, with a year of two digits too, or ISO as a wall-clock
+    timestamp, NULL if neither."""
+    s = _year_first(_full_year(strip(c)))
     return F.when(s.rlike(_WALL_CLOCK), s.try_cast("timestamp_ntz"))
 
 

@@ -22,14 +22,23 @@ def _plain(c: Column) -> Column:
 
 
 def br_decimal(c: Column, scale: int = 2) -> Column:
-    """``1.234,56`` as 1234.56; every dot is a thousands mark, so ``12.50`` is 1250."""
-    value = _plain(strip(c)).try_cast("decimal(38,6)")
-    return F.round(value, scale).try_cast(f"decimal(18,{scale})")
+    """``1.234,56`` as 1234.56; every dot is a thousands mark, so ``12.50`` is 1250.
+
+    Rounded once, half up.  The type is wide: a value that a narrower column of a table
+    can't hold is an error when it is written there, not NULL.
+    """
+    return _plain(strip(c)).try_cast(f"decimal(38,{scale})")
 
 
 def whole_number(c: Column) -> Column:
-    """Nullable integer; text that is no number is NULL, a fraction is cut off."""
-    return _number(strip(c)).try_cast("bigint")
+    """Nullable integer; text that is no number is NULL, a fraction is cut off.
+
+    Exact for every 64-bit integer; only text with an exponent goes through DOUBLE.
+    """
+    s = strip(c)
+    whole = F.regexp_replace(F.regexp_replace(s, r"\..*$", ""), r"^([+-]?)$", "$10")
+    plain = F.when(s.rlike(_NUMBER), whole.try_cast("decimal(38,0)").try_cast("bigint"))
+    return F.when(s.rlike("[eE]"), _number(s).try_cast("bigint")).otherwise(plain)
 
 
 def digits_int(c: Column) -> Column:

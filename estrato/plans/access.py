@@ -18,12 +18,17 @@ from estrato.functions.payload import field_or_null, payload_fields, payload_of
 from estrato.functions.text import code_of, label_of
 from estrato.operators.aggregates import text_lists
 from estrato.operators.audit import audit_counts
-from estrato.operators.incremental import not_in
+from estrato.operators.incremental import (
+    WATERMARK_KEYS, get_watermark, not_in, set_watermark, watermark_row,
+)
 from estrato.operators.joins import (
     Dim, exclude_category, lookup_default, star_join, union_origin,
 )
 from estrato.operators.shape import align_to_schema, drop_blank_keys
-from estrato.sources.tables import append_batch, append_new, read_appended
+from estrato.session import written
+from estrato.sources.tables import (
+    append_batch, append_new, read_appended, read_current, write_version,
+)
 
 OTHERS, CHECK = "OUTROS", "CHECK"
 
@@ -39,6 +44,7 @@ def not_cancelled(c: Column) -> Column:
 
 # ------------------------------------------------------------------ source L
 
+# The payload fields of source L.
 PAYLOAD_L = {
     "DT_HR_VOUCHER": "T.DTVENDA",
     "DATA_ACESSO": "B.DATA",
@@ -144,12 +150,14 @@ def silver_l(bronze: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ source Q
 
+# The payload fields of source Q.
 PAYLOAD_Q = [
     "idAcesso", "idEmpresaRelacionamento", "data_hora_entrada", "data_hora_saida",
     "socio_ou_ingresso", "email", "telefone", "celular", "categoria_tipo_ingresso",
     "numero_ingresso", "terminal_entrada", "terminal_saida", "tipo_acesso",
 ]
 
+# The codes of the kinds of contact.
 CONTACT_KINDS = {"email": "E", "celular": "C", "telefone": "F"}
 
 
@@ -178,6 +186,10 @@ def extract_q(
     """
     at_gate = F.col("idTerminalEntrada").isin(*terminals) | F.col("idTerminalSaida").isin(*terminals)
     access = t["access"].where(between_days(F.col("dataEntrada"), start, end) & at_gate)
+    # the exit counts by its terminal row, below; the filter here only spares rows early
+    at_known_gate = F.col("a.idTerminalEntrada").isin(*terminals) | F.coalesce(
+        F.col("t_out.idTerminal").isin(*terminals), F.lit(False)
+    )
     if min_id is not None:
         access = access.where(F.col("idAcesso") > min_id)
 
@@ -220,6 +232,7 @@ def extract_q(
         ),
         Dim(t["person"], "titular", [("dono.idPessoaRelacionamento", "idPessoa")], "left"),
     ])
+    star = star.where(at_known_gate)
     has_ticket = F.coalesce(F.col("ingresso.idIngresso") > 0, F.lit(False))
 
     def text(c: str) -> Column:
@@ -339,9 +352,13 @@ def load_access(
 
     ``extracts`` holds the rows of ``extract_l`` as ``L`` and of ``extract_q`` as ``Q``.
     Every step reads the whole layer below and adds what is missing, so a run after a
-    failed one repairs it, and a run over the same input adds nothing.
+    failed one repairs it, and a run over the same input adds nothing.  An extract is
+    computed once, and the largest id of Q is stored as its watermark, from which
+    ``next_min_id`` lets the next extract go on.  The counts of ``audit_q`` come with the
+    others.
     """
     added: dict[str, int] = {}
+    extracts = {name: written(rows, f"extract-{name}") for name, rows in extracts.items()}
     keyed_l, no_voucher = bronze_l(extracts["L"], run_ts)
     keyed_q, _ = bronze_q(extracts["Q"], run_ts)
     bronze = {
@@ -374,9 +391,29 @@ def load_access(
     path = f"{root}/gold/access"
     have = read_appended(spark, path, schemas.GOLD_ACCESS, without_batch=batch)
     added["gold"] = append_batch(gold_access(facts, have, gold_keys), path, batch)
+
+    typed = read_appended(spark, f"{root}/silver_trans/access_q", silver["Q"].schema)
+    for row in audit_q(typed, facts["Q"]).collect():  # two counts
+        added[f"audit_{row['check']}"] = row["rows"]
+    path = f"{root}/watermarks"
+    newest_id = watermark_row(extracts["Q"], *WATERMARK, F.col("idAcesso"), run_ts)
+    have = read_current(spark, path, schemas.WATERMARKS)
+    kept = newest_id.join(have.select(F.col("watermark_value").alias("_had"), *WATERMARK_KEYS), WATERMARK_KEYS, "left")
+    grown = kept.where(F.col("_had").isNull() | (F.col("watermark_value").cast("long") > F.col("_had").cast("long")))
+    write_version(set_watermark(have, grown.select(*schemas.WATERMARKS.names)), path)
     return added
 
 
+#: Source system, entity and key under which the newest access of Q is stored.
+WATERMARK = ("Q", "access", "idAcesso")
+
+
+def next_min_id(spark, root: str) -> int:
+    """The id above which the next extract of Q begins, 0 before the first load."""
+    have = read_current(spark, f"{root}/watermarks", schemas.WATERMARKS)
+    return int(get_watermark(have, *WATERMARK).first()["watermark_value"])
+
+
 def audit_q(silver: DataFrame, fact: DataFrame) -> DataFrame:
     """``(check, rows)``: accesses of the others category, and those the fact lacks."""
     ids = silver.select(F.col("id_acesso").cast("string").alias("id_acesso"))

@@ -362,6 +362,38 @@ select 'Q', cast("idAcesso" as varchar), numero_ingresso, label, terminal_entrad
 from q where label <> 'OUTROS' and label <> 'NATION_4'"""
 
 
+def incremental(spark, sf):
+    """What two loads of source Q add, layer by layer, and where the next one begins."""
+    lookups = {
+        name: spark.sql("select * from values ('NATION_4', 'OUTROS', true) as t(tipo_ingresso, tipo_publico, active)")
+        for name in "LQ"
+    }
+    root = work_dir(spark, "incremental")
+    none = access.extract_l(tables_l(spark, sf), *_DAYS).limit(0)
+    for batch in ("1", "2"):
+        least = access.next_min_id(spark, root)
+        q = access.extract_q(tables_q(spark, sf), *_Q_DAYS, _GATES, min_id=max(50, least))
+        added = access.load_access(spark, root, batch, RUN_TS, lookups, {"L": none, "Q": q})
+        if batch == "1":
+            first = added
+    rows = [(n, first[n]) for n in ("bronze_Q", "silver_Q", "context_Q", "gold", "audit_outros")]
+    rows += [("second_load", sum(added[n] for n in ("bronze_Q", "silver_Q", "context_Q", "gold")))]
+    rows += [("watermark", access.next_min_id(spark, root))]
+    return spark.createDataFrame(rows, "name string, rows long")
+
+
+INCREMENTAL = f"""
+with {_FROM_Q}, q as (select "idAcesso" as id, {_LABEL} as label from x),
+fact as (select * from q where label <> 'OUTROS' and label <> 'NATION_4')
+select 'bronze_Q' as name, count(distinct id) as "rows" from q
+union all select 'silver_Q', count(distinct id) from q
+union all select 'context_Q', count(distinct id) from fact
+union all select 'gold', count(distinct id) from fact
+union all select 'audit_outros', count(*) from q where label = 'OUTROS'
+union all select 'second_load', 0
+union all select 'watermark', max(id) from q"""
+
+
 def audit(spark, sf):
     """Accesses of source Q without a usable label, and those outside the fact."""
     rows, _ = access.bronze_q(
@@ -387,4 +419,5 @@ QUERIES = {
     "q_access_q_silver": (silver_q, SILVER_Q),
     "q_access_layers": (layers, LAYERS),
     "q_access_audit": (audit, AUDIT),
+    "q_access_incremental": (incremental, INCREMENTAL),
 }

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from estrato.functions.text import column_name, dataset_name
 from estrato.operators.reports import period_of
-from estrato.plans.registered.common import pick, pick_sql, table
+from estrato.plans import sales
+from estrato.plans.registered.common import RUN_MICROS, RUN_TS, pick, pick_sql, plain, table
 from estrato.session import spread, work_dir
 from estrato.sources.files import header_csv, lines_of_text, text_lines
+from estrato.sources.paths import matching
 
 
 def raw_lines_of_text(spark, sf):
@@ -46,6 +48,28 @@ select doc_id // 100 as file_no, raw_line,
   row_number() over (partition by doc_id // 100 order by doc_id, line_no) as line_no
 from ({_DOC_LINES})"""
 
+def raw_bronze(spark, sf):
+    """Exports in two encodings landed as bronze lines, by an allow-list, with an origin."""
+    docs = table(spark, sf, "documents")
+    line = F.concat_ws(";", F.lit("x"), F.col("doc_id").cast("string"), F.lit("São Pão ç"), "lang", "source")
+    path = work_dir(spark, "exports")
+    for encoding, rest in (("UTF-8", 0), ("ISO-8859-1", 1)):
+        some = docs.where(F.col("doc_id") % 3 == rest).select(line.alias("line"))
+        some.write.mode("append").options(encoding=encoding, sep="|", quoteAll=False).csv(path)
+    allowed = [p.rsplit("/", 1)[1] for p in matching(spark, f"{path}/*.csv")]
+    docs.where("doc_id % 3 = 2").select(line.alias("line")).write.mode("append").csv(path)  # not allowed
+    bronze = work_dir(spark, "bronze")
+    for _ in range(2):  # landing the files again changes nothing
+        sales.load_bronze(spark, path, bronze, batch_id="b", run_ts=RUN_TS, allow=allowed, origin="web")
+    rows = spark.read.parquet(bronze)
+    return plain(rows.select("raw_line", "origem_dado", "dt_carga", (F.col("line_no") >= 1).cast("int").alias("numbered")))
+
+
+RAW_BRONZE = f"""
+select concat_ws(';', 'x', doc_id, 'São Pão ç', lang, source) as raw_line, 'web' as origem_dado,
+  {RUN_MICROS} as dt_carga, 1 as numbered
+from documents where doc_id % 3 < 2"""
+
 _WANTED = ["event_id", "event_type", "props", "user_id", "note"]
 
 
@@ -102,6 +126,7 @@ from documents"""
 QUERIES = {
     "q_raw_lines": (raw_lines_of_text, RAW_LINES),
     "q_raw_files": (raw_files, RAW_FILES),
+    "q_raw_bronze": (raw_bronze, RAW_BRONZE),
     "q_csv_history": (csv_history, CSV_HISTORY),
     "q_regexp_period": (dataset_names, DATASET_NAMES),
 }

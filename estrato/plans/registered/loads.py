@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from estrato import schemas
+from estrato.functions.dates import last_days, snapshot_until_yesterday, today_only
 from estrato.functions.payload import field_or_null, payload_fields
 from estrato.operators.incremental import get_watermark, set_watermark, watermark_row
 from estrato.operators.joins import union_origin
 from estrato.plans.registered.common import (
     RUN_MICROS, RUN_TS, cents, cents_sql, plain, table,
 )
+from estrato.plans.access import between_days
 from estrato.plans.weather import with_ingestion
 from estrato.session import work_dir
 from estrato.sources.tables import (
-    append_batch, append_new, datasets_with_suffix, read_appended, read_current, upsert,
-    write_reports, write_version,
+    append_batch, append_new, datasets_with_suffix, read_appended, read_current, read_evolving,
+    truncate, upsert, write_reports, write_version,
 )
 from estrato.streaming.micro_batch import insert_stream, new_files
 
@@ -37,6 +41,68 @@ APPEND_ROWS = f"""
 select event_id, event_type, 'scrape_run' as ingestion_type,
   cast(null as varchar) as ingestion_batch, {RUN_MICROS} as ingested_at from events"""
 
+def truncated(spark, sf):
+    """A table that is emptied and then holds what comes after."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    path = work_dir(spark, "truncate")
+    upsert(rows, path, ["o_orderkey"])
+    truncate(spark, path, rows.schema)
+    upsert(rows.where(F.col("o_orderstatus") == "F"), path, ["o_orderkey"])
+    return read_current(spark, path, rows.schema)
+
+
+TRUNCATED = "select o_orderkey, o_orderstatus from orders where o_orderstatus = 'F'"
+
+
+def run_windows(spark, sf):
+    """The days a run takes in, by the kind of run: rows for each."""
+    day = date(1996, 7, 1)
+    o = table(spark, sf, "orders")
+    windows = {
+        "snapshot": snapshot_until_yesterday(day, date(1996, 1, 1)), "today": today_only(day),
+        "days": last_days(day, 30),
+    }
+    counts = [F.count_if(between_days(F.col("o_orderdate").cast("date"), *w)).alias(n) for n, w in windows.items()]
+    return o.agg(*counts)
+
+
+RUN_WINDOWS = """
+select count(*) filter (cast(o_orderdate as date) between date '1996-01-01' and date '1996-06-30') as snapshot,
+  count(*) filter (cast(o_orderdate as date) = date '1996-07-01') as today,
+  count(*) filter (cast(o_orderdate as date) between date '1996-06-01' and date '1996-07-01') as days
+from orders"""
+
+
+def evolved(spark, sf):
+    """A table whose later loads have a column more."""
+    o = table(spark, sf, "orders")
+    path = work_dir(spark, "evolve")
+    o.where("o_orderkey % 2 = 0").select("o_orderkey").write.parquet(f"{path}/batch=1")
+    o.where("o_orderkey % 2 = 1").select("o_orderkey", "o_orderstatus").write.parquet(f"{path}/batch=2")
+    return read_evolving(spark, path).select("o_orderkey", "o_orderstatus", F.col("batch").cast("int").alias("batch"))
+
+
+EVOLVED = """
+select o_orderkey, case when o_orderkey % 2 = 1 then o_orderstatus end as o_orderstatus,
+  cast(1 + o_orderkey % 2 as int) as batch from orders"""
+
+
+def inserted(spark, sf):
+    """The rows that each of three inserts reports as new."""
+    rows = table(spark, sf, "orders").select(*_KEYS, "o_orderkey", "o_orderstatus")
+    path = work_dir(spark, "inserted")
+    order = [F.col("o_orderkey").asc()]
+    loads = (rows.where(F.col("o_orderstatus") == "F"), rows, rows)
+    counts = [(i + 1, append_new(df, path, _KEYS, order, str(i))) for i, df in enumerate(loads)]
+    return spark.createDataFrame(counts, "load int, new_rows long")
+
+
+INSERTED = """
+with k as (select o_custkey, o_orderpriority, bool_or(o_orderstatus = 'F') as first from orders group by all)
+select 1 as load, count(*) filter (first) as new_rows from k
+union all select 2, count(*) filter (not first) from k
+union all select 3, 0"""
+
 _KEYS = ["o_custkey", "o_orderpriority"]
 
 
@@ -153,6 +219,10 @@ select event_id, user_id, event_type, cast(cast(ts as date) as varchar) as day,
   cast(props->>'$.k' as bigint) as k from events"""
 
 QUERIES = {
+    "q_truncate": (truncated, TRUNCATED),
+    "q_run_windows": (run_windows, RUN_WINDOWS),
+    "q_evolving": (evolved, EVOLVED),
+    "q_inserted_counts": (inserted, INSERTED),
     "q_append_batch": (append_rows, APPEND_ROWS),
     "q_insert_batches": (insert_batches, INSERT_BATCHES),
     "q_upsert_versions": (upsert_versions, UPSERT_VERSIONS),

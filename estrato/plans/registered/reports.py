@@ -317,6 +317,39 @@ def sales_layers(spark, sf):
     return plain(rows.select("id_venda", "data", "qtd", "vlr_total", "produto", "motivo", "fonte_tabela_bronze"))
 
 
+def sales_rerun(spark, sf):
+    """The datasets loaded twice; then one lands again with a broken header, and its old
+    rows go."""
+    o = _orders(spark, sf)
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    record = F.concat_ws(
+        ";", F.col("o_orderkey").cast("string"), day, day, F.lit("1"),
+        br_text(cents("o_totalprice")), F.lit("x"), F.lit("p"), F.lit("e"), F.lit("t"), F.lit("c"), F.lit("m"),
+    )
+    records = o.select(
+        _dataset("418").alias(FILE), F.col("o_orderkey").alias("at"), record.alias("record")
+    )
+    header = "Conta;Data;Data Visita;Qtd;Valor;Produtos-Carrinho;Pessoa;Email;Telefone;Cidade;Motivo"
+    lines = _framed(records, F.lit(header), ['"Total";"9"'])
+    root = work_dir(spark, "rerun")
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    for _ in range(2):
+        write_reports(lines, bronze, "overwrite")
+        sales.load_silver(spark, bronze, silver, sales.CARTS_418, RUN_TS)
+    broken = lines.join(records.agg(F.min(FILE).alias(FILE)), FILE).withColumn(
+        "raw_line", F.replace("raw_line", F.lit("Conta;Data;"), F.lit("Other;"))
+    )
+    write_reports(broken, bronze, "overwrite")
+    sales.load_silver(spark, bronze, silver, sales.CARTS_418, RUN_TS)
+    rows = sales.read_silver(spark, silver, sales.CARTS_418)
+    return plain(rows.select("id_venda", "data", "vlr_total", "fonte_tabela_bronze"))
+
+
+SALES_RERUN = f"""
+select cast(o_orderkey as varchar) as id_venda, {_DAY} as data,
+  {money_sql(cents_sql('o_totalprice'))} as vlr_total, {_dataset_sql('418')} as fonte_tabela_bronze
+from orders where strftime(o_orderdate, '%Y%m') > (select min(strftime(o_orderdate, '%Y%m')) from orders)"""
+
 SALES_LAYERS = f"""
 select cast(o_orderkey as varchar) as id_venda, {_DAY} as data, cast(1 as bigint) as qtd,
   {money_sql(cents_sql('o_totalprice'))} as vlr_total, o_orderpriority as produto,
@@ -494,6 +527,7 @@ QUERIES = {
     "q_report_270": (report_270, REPORT_270),
     "q_report_418": (report_418, REPORT_418),
     "q_report_664": (report_664, REPORT_664),
+    "q_sales_rerun": (sales_rerun, SALES_RERUN),
     "q_sales_layers": (sales_layers, SALES_LAYERS),
     "q_dimensions": (dimensions, DIMENSIONS),
     "q_report_rejects": (rejects, REJECTS),

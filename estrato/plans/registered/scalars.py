@@ -213,6 +213,8 @@ def br_decimal(spark, sf):
         F.concat(F.lit("R$ "), br_text(price)),
         F.lit(""),
         F.concat(price.cast("string"), F.lit(",4567")),
+        F.lit("0,0049999995"),
+        F.lit("12345678901234567,00"),
     )
     rows = table(spark, sf, "orders").select("o_orderkey", raw.alias("raw"))
     return plain(rows.select("o_orderkey", numbers.br_decimal(F.col("raw")).alias("amount")))
@@ -222,7 +224,7 @@ _C = cents_sql("o_totalprice")
 BR_DECIMAL = f"""
 select o_orderkey, {pick_sql(
     'o_orderkey', money_sql(_C), "'-' || " + money_sql(_C), f"concat({_C}, '.00')", 'null', 'null',
-    f"concat({_C}, '.46')")} as amount
+    f"concat({_C}, '.46')", "'0.00'", "'12345678901234567.00'")} as amount
 from orders"""
 
 
@@ -251,7 +253,7 @@ def whole_number(spark, sf):
     q = F.col("l_quantity").cast("int").cast("string")
     raw = pick(
         F.col("l_partkey"), q, F.concat(F.lit(" "), q, F.lit(".9")), F.concat(q, F.lit("d")),
-        F.lit(""), F.concat(q, F.lit("e2")),
+        F.lit(""), F.concat(q, F.lit("e2")), F.lit("9007199254740993"), F.lit("-.75"), F.lit("0.9999999"),
     )
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", raw.alias("raw"))
     return rows.select(
@@ -261,7 +263,7 @@ def whole_number(spark, sf):
 
 _Q = "cast(l_quantity as bigint)"
 WHOLE_NUMBER = f"""
-select l_orderkey, l_partkey, {pick_sql('l_partkey', _Q, _Q, 'null', 'null', _Q + ' * 100')} as qtd
+select l_orderkey, l_partkey, {pick_sql('l_partkey', _Q, _Q, 'null', 'null', _Q + ' * 100', '9007199254740993', '0', '0')} as qtd
 from lineitem"""
 
 
@@ -276,6 +278,8 @@ def dayfirst_date(spark, sf):
         F.concat(F.lit(" "), F.date_format(day, "d/M/yyyy "), clock, F.lit(":08:09 ")),
         F.lit("31/02/2025"),
         F.lit("N/A"),
+        F.concat(F.date_format(day, "dd/MM/yy "), clock, F.lit(":07")),
+        F.lit("1/2/03"),
     )
     rows = table(spark, sf, "orders").select("o_orderkey", raw.alias("raw"))
     stamp = dates.day_first_timestamp(F.col("raw"))
@@ -292,10 +296,10 @@ def dayfirst_date(spark, sf):
 _D = "strftime(o_orderdate, '%Y-%m-%d')"
 _H = "lpad(cast(o_custkey % 24 as varchar), 2, '0')"
 DAYFIRST_DATE = f"""
-select o_orderkey, {pick_sql('o_orderkey', _D, _D, _D, _D, 'null', 'null')} as dt,
+select o_orderkey, {pick_sql('o_orderkey', _D, _D, _D, _D, 'null', 'null', _D, "'2003-02-01'")} as dt,
   {pick_sql('o_orderkey', "'00:00:00'", _H + " || ':07:00'", "'00:00:00'", _H + " || ':08:09'",
-            'null', 'null')} as hr,
-  {pick_sql('o_orderkey', _D, 'null', _D, 'null', 'null', 'null')} as dt_strict
+            'null', 'null', _H + " || ':07:00'", "'00:00:00'")} as hr,
+  {pick_sql('o_orderkey', _D, 'null', _D, 'null', 'null', 'null', 'null', 'null')} as dt_strict
 from orders"""
 
 

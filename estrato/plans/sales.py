@@ -18,7 +18,7 @@ from estrato.operators.ordered import forward_fill
 from estrato.operators.shape import align_to_schema, drop_empty_or_zero
 from estrato.session import written
 from estrato.sources.files import TABLE, raw_lines
-from estrato.sources.tables import datasets_with_suffix, write_reports
+from estrato.sources.tables import datasets_with_suffix, empty_datasets, write_reports
 
 Cast = Callable[[Column], Column]
 
@@ -278,9 +278,13 @@ def with_period(silver: DataFrame, report: Report) -> DataFrame:
 
 def load_bronze(
     spark: SparkSession, folder: str, bronze: str, *, batch_id: str, run_ts: datetime,
-    allow: Sequence[str] | None = None, origin: str | None = None, mode: str = "append",
+    allow: Sequence[str] | None = None, origin: str | None = None, mode: str = "overwrite",
 ) -> None:
-    """Land the report files of a folder as raw lines, one dataset per file name."""
+    """Land the report files of a folder as raw lines, one dataset per file name.
+
+    A dataset that is landed again replaces its lines, so a repeated load is harmless;
+    ``append`` adds them, and a line number is then no longer unique.
+    """
     lines = raw_lines(
         spark, folder, batch_id=batch_id, run_ts=run_ts, allow=allow, origin=origin
     )
@@ -293,11 +297,16 @@ def load_silver(
 ) -> DataFrame:
     """Type all datasets of a report kind into its silver table; returns the rejects.
 
-    ``overwrite`` replaces the datasets that were read, so a second run doubles nothing;
-    ``append`` adds the rows again.
+    ``overwrite`` replaces every dataset that was read, those that gave no row or were
+    rejected too, so a second run doubles nothing and leaves nothing behind; ``append`` adds
+    the rows again.
     """
-    rows, rejects = silver_report(spark.read.parquet(bronze), report, run_ts, test_email)
+    lines = spark.read.parquet(bronze)
+    rows, rejects = silver_report(lines, report, run_ts, test_email)
     write_reports(rows, silver, mode, by="fonte_tabela_bronze")
+    if mode == "overwrite":
+        read = datasets_with_suffix(lines, report.suffix).select(F.col(TABLE).alias("fonte_tabela_bronze"))
+        empty_datasets(read.distinct(), rejects.select(TABLE), silver, report.schema, "fonte_tabela_bronze")
     return rejects
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+INPUT_PARTITIONS = "spark.estrato.inputPartitions"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -20,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        .config(INPUT_PARTITIONS, "8" if cores == "*" else str(cores))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,12 +55,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, most: int = 8) -> DataFrame:
-    """Give more cores a share of a small table, as it is read, before costly work per row.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table out before costly work per row, where the session asks for it.
 
-    A partition is split into ``most`` parts at most, and an input that already has a
-    partition per core is left as it is, so on large data nothing is shuffled.
+    Only the local sessions of tests and the bench do, whose tables are one file each; on a
+    cluster an input has its splits and nothing is shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    return df.repartition(min(cores, most * parts)) if parts < cores else df
+    parts = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df

@@ -28,18 +28,20 @@ def text_lines(
 
     Files are split: a file of any size is read by many tasks.  A line knows its split
     (``file_block_start``) and its place in it; the number of lines in the splits before
-    gives the rest, from an aggregate with one row per split.  That small table is
-    written, so its known size decides how it is joined with the lines.  A file whose lines are
+    gives the rest, from an aggregate with one row per split.  The files are read once:
+    where splits begin depends on the cluster at that moment, so the lines are written with
+    their split and place, and the numbers come from that table.  A file whose lines are
     all valid UTF-8 is UTF-8, any other is Latin-1, so no byte is lost.  The reader
     removes a byte order mark at the start of a file.
     """
-    lines = spark.read.option("pathGlobFilter", glob).text(path if isinstance(path, str) else list(path)).select(
+    read = spark.read.option("pathGlobFilter", glob).text(path if isinstance(path, str) else list(path)).select(
         "value",
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias(FILE),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_at"),
     )
+    lines = written(read, "text-lines")
     splits = lines.groupBy("_path", "_split").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_at").alias("_first"),

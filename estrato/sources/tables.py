@@ -89,6 +89,20 @@ def write_reports(
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def empty_datasets(
+    read: DataFrame, rejected: DataFrame, path: str, schema: T.StructType, by: str
+) -> None:
+    """Empty the datasets that were read and rejected, if the table has rows of them."""
+    spark = read.sparkSession
+    if not matching(spark, f"{path}/{by}=*"):
+        return
+    there = spark.read.schema(schema).parquet(path).select(by).distinct()
+    gone = rejected.toDF(by).join(read, by, "left_semi").distinct()
+    nothing = spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != by]))
+    for row in gone.join(there, by, "left_semi").toLocalIterator():  # a name for each dataset
+        nothing.write.mode("overwrite").parquet(f"{path}/{by}={row[0]}")
+
+
 def datasets_with_suffix(df: DataFrame, suffix: str) -> DataFrame:
     """Rows of the datasets whose name ends in ``_<suffix>``: a partition filter."""
     return df.where(F.col("src_table").endswith(f"_{suffix}"))
