@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 CHUNK_SPAN = 1 << 17
+#: Summary rows that one window sees: the chunks of a group are summed up in turn.
+SUPER = "_super"
+SUMMARY_SPAN = 1 << 12
 
 
 def with_chunk(df: DataFrame, order: str, span: int = CHUNK_SPAN) -> DataFrame:
@@ -50,17 +53,29 @@ def forward_fill(
     window = within_chunk(group, order)
     kept = [F.col(c) for c in chunked.columns if c not in columns]
     inside = chunked.select(*kept, *[F.last(c, True).over(window).alias(c) for c in columns])
-    carry = _last_per_chunk(chunked, group, order, columns).select(
-        *group,
-        CHUNK,
-        *[F.last(c, True).over(earlier_chunks(group)).alias(f"_carry_{c}") for c in columns],
-    )
+    carry = _carried(_last_per_chunk(chunked, group, order, columns), group, columns)
     filled = {c: F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(c) for c in columns}
     return inside.join(carry, [*group, CHUNK], "left").select(
         *[filled.get(c, F.col(c)) for c in df.columns]
     )
 
 
+def _carried(last: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """What each chunk takes over from the ones before it, in two steps: from those of its
+    own run of chunks, else from the runs before, of which there is one row each."""
+    runs = last.withColumn(SUPER, F.expr(f"`{CHUNK}` div {SUMMARY_SPAN}"))
+    inside = Window.partitionBy(*group, SUPER).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*group).orderBy(SUPER).rowsBetween(Window.unboundedPreceding, -1)
+    of_run = runs.groupBy(*group, SUPER).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(CHUNK))).alias(c) for c in columns]
+    ).select(*group, SUPER, *[F.last(c, True).over(above).alias(f"_run_{c}") for c in columns])
+    near = runs.select(*group, SUPER, CHUNK, *[F.last(c, True).over(inside).alias(f"_near_{c}") for c in columns])
+    return near.join(of_run, [*group, SUPER], "left").select(
+        *group, CHUNK,
+        *[F.coalesce(f"_near_{c}", f"_run_{c}").alias(f"_carry_{c}") for c in columns],
+    )
+
+
 def _last_per_chunk(
     chunked: DataFrame, group: Sequence[str], order: str, columns: Sequence[str]
 ) -> DataFrame:

@@ -355,7 +355,7 @@ def fill(spark, sf):
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_value"),
         F.when(F.col("event_type") == "signup", F.col("props")).alias("last_props"),
     )
-    return forward_fill(rows, ["user_id"], "event_id", ["last_value", "last_props"], span=4096)
+    return forward_fill(rows, ["user_id"], "event_id", ["last_value", "last_props"])
 
 
 FILL = """

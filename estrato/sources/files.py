@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from estrato.functions.text import BOM, dataset_name
 from estrato.operators import reports
 from estrato.session import written
-from estrato.sources.paths import escaped, matching, plain_name
+from estrato.sources.paths import any_match, escaped, plain_name
 
 FILE, TABLE = "_source_file", "src_table"
 
@@ -94,10 +94,10 @@ def raw_lines(
     error.
     """
     names = [escaped(n) for n in allow] if allow else [glob]
-    found = [p for n in names for p in matching(spark, f"{path}/{n}")]
+    found = [f"{path}/{n}" for n in names if any_match(spark, f"{path}/{n}")]
     if not found:
         raise FileNotFoundError(f"no file of {names} in {path}")
-    lines = text_lines(spark, [escaped(p) for p in found] if allow else path, glob)
+    lines = text_lines(spark, found if allow else path, glob)
     lines = lines.withColumn(FILE, plain_name(F.col(FILE)))
     stem = F.regexp_replace(FILE, r"\.[^.]*$", "")
     named = lines.withColumn(TABLE, dataset_name(stem))

@@ -15,6 +15,13 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(path) or [])
 
 
+def any_match(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob matches anything; the names stay where they are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def escaped(name: str) -> str:
     """A file name as a glob that matches it alone."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", name)

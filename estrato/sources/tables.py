@@ -16,14 +16,15 @@ from pyspark.sql import types as T
 
 from estrato.operators.audit import counted
 from estrato.operators.incremental import insert_new, merge_upsert
-from estrato.sources.paths import matching
+from estrato.session import written
+from estrato.sources.paths import any_match, matching
 
 
 def read_appended(
     spark: SparkSession, path: str, schema: T.StructType, without_batch: str | None = None
 ) -> DataFrame:
     """All loads of an appended table (no row if there is none yet)."""
-    if not matching(spark, f"{path}/batch=*/_SUCCESS"):
+    if not any_match(spark, f"{path}/batch=*/_SUCCESS"):
         return spark.createDataFrame([], schema)
     read = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
     df = spark.read.schema(read).parquet(path)
@@ -76,6 +77,35 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str]) -> int:
     return write_version(merge_upsert(target, source, keys), path)
 
 
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType, by: str) -> DataFrame:
+    """A table with a folder for each value of ``by`` (no row if there is none yet)."""
+    if not any_match(spark, f"{path}/{by}=*"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def upsert_keyed(source: DataFrame, path: str, keys: Sequence[str], by: str) -> int:
+    """Upsert into a table with a folder for each value of ``by``, one of the keys.
+
+    Only folders of values that the source has are read and replaced: the range of the
+    values is a partition filter, the values themselves are joined.  Returns the rows that
+    were written.
+    """
+    spark = source.sparkSession
+    source = written(source, "upsert")
+    ends = source.agg(F.min(by).alias("low"), F.max(by).alias("high")).first()
+    if ends["low"] is None:
+        return 0
+    old = read_keyed(spark, path, source.schema, by)
+    old = old.where(F.col(by).between(F.lit(ends["low"]), F.lit(ends["high"])))
+    old = old.join(source.select(by).distinct(), by, "left_semi").select(*source.columns)
+    merged = written(merge_upsert(old, source, keys), "upsert")
+    rows, seen = counted(merged)
+    writer = rows.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    return seen.get["rows"]
+
+
 def write_reports(
     df: DataFrame, path: str, mode: str = "append", by: str = "src_table"
 ) -> None:
@@ -94,7 +124,7 @@ def empty_datasets(
 ) -> None:
     """Empty the datasets that were read and rejected, if the table has rows of them."""
     spark = read.sparkSession
-    if not matching(spark, f"{path}/{by}=*"):
+    if not any_match(spark, f"{path}/{by}=*"):
         return
     there = spark.read.schema(schema).parquet(path).select(by).distinct()
     gone = rejected.toDF(by).join(read, by, "left_semi").distinct()

@@ -17,7 +17,7 @@ from estrato.operators.incremental import (
 from estrato.plans import access, weather
 from estrato.session import work_dir
 from estrato.sources.tables import (
-    append_batch, append_new, read_appended, read_current, truncate, upsert, versions, write_version,
+    append_batch, append_new, read_appended, read_current, read_keyed, truncate, upsert, versions, write_version,
 )
 from estrato.streaming.micro_batch import insert_stream, new_files
 
@@ -131,16 +131,16 @@ def test_weather_layers(spark, tmp_path):
     root = str(tmp_path / "w")
     added = weather.load_weather(spark, root, "1", RUN_TS, [first])
     assert added == {"bronze": 4, "silver": 3, "context": 2, "gold": 1}
-    gold = read_current(spark, f"{root}/gold/weather", schemas.GOLD_WEATHER).first()
+    gold = read_keyed(spark, f"{root}/gold/weather", schemas.GOLD_WEATHER, "dt_forecast").first()
     assert (gold.cidade, gold.uf, gold.vento, gold.sensacao_termica, gold.temp_max_c) == ("Cotia", "SP", "10 km/h", "N/A", 20)
     later = weather.with_ingestion(scrape(
         spark, dict(day, origem="AccuWeather", data_scrap="2025-11-06", hora_scrap="08:00:00", vento="new"),
     ), "scrape_run", RUN_TS + timedelta(days=1))
     added = weather.load_weather(spark, root, "2", RUN_TS, [later])
     assert added == {"bronze": 1, "silver": 1, "context": 2, "gold": 1}
-    gold = read_current(spark, f"{root}/gold/weather", schemas.GOLD_WEATHER).first()
+    gold = read_keyed(spark, f"{root}/gold/weather", schemas.GOLD_WEATHER, "dt_forecast").first()
     assert (gold.vento, gold.sensacao_termica) == ("new", "quente")
-    context = read_current(spark, f"{root}/silver_ctx/weather", schemas.WEATHER_CONTEXT)
+    context = read_keyed(spark, f"{root}/silver_ctx/weather", schemas.WEATHER_CONTEXT, "dt_forecast")
     odd = weather.gold_weather(context, RUN_TS, weather.SOURCE_B, ("", "N/A")).first()
     assert odd.sensacao_termica == "quente"
 
