@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pytest
 from conftest import RUN_TS
+from pyspark.sql import functions as F
 
 from estrato.plans import sales, weather
-from estrato.sources.files import header_csv, new_batch_id, raw_lines
+from estrato.sources.files import header_csv, new_batch_id, raw_lines, text_lines
 from estrato.sources.tables import read_evolving
 from estrato.sources.relational import jdbc_options, terminal_ids
 
@@ -131,3 +132,21 @@ def test_a_table_may_gain_columns(spark, tmp_path):
     spark.sql("select 1 as a").write.mode("append").parquet(path)
     spark.sql("select 2 as a, 'x' as teste").write.mode("append").parquet(path)
     assert sorted(tuple(r) for r in read_evolving(spark, path).select("a", "teste").collect()) == [(1, None), (2, "x")]
+
+
+def test_no_line_is_lost_when_splits_change(spark, tmp_path):
+    """Other splits at the time of reading than when the plan was built."""
+    (tmp_path / "many.csv").write_text("".join(f"line {i}\n" for i in range(1, 60_001)))
+    keys = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set(keys[1], str(64 << 10))
+        spark.conf.set(keys[2], "1")
+        spark.conf.set(keys[0], "4")
+        lines = text_lines(spark, str(tmp_path))
+        spark.conf.set(keys[0], "7")
+        spark.conf.set(keys[1], str(50_000))
+        wrong = lines.where(F.concat(F.lit("line "), F.col("line_no").cast("string")) != F.col("raw_line"))
+        assert (lines.count(), wrong.count()) == (60_000, 0)
+    finally:
+        for key in keys:
+            spark.conf.unset(key)

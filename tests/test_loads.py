@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import RUN_TS
@@ -17,7 +17,8 @@ from estrato.operators.incremental import (
 from estrato.plans import access, weather
 from estrato.session import work_dir
 from estrato.sources.tables import (
-    append_batch, append_new, read_appended, read_current, read_keyed, truncate, upsert, versions, write_version,
+    append_batch, append_new, read_appended, read_current, read_keyed, truncate, upsert, upsert_keyed,
+    versions, write_version,
 )
 from estrato.streaming.micro_batch import insert_stream, new_files
 
@@ -209,3 +210,20 @@ def test_scratch_folder(spark):
         work_dir(_Cluster, "x")
     _Cluster.sparkContext.getCheckpointDir = staticmethod(lambda: "hdfs://n/ck")
     assert work_dir(_Cluster, "x").startswith("hdfs://n/ck/estrato/x-")
+
+
+def test_an_upsert_reads_and_writes_only_its_days(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    schema = "k string, v int, day date"
+    first = spark.createDataFrame([("a", 1, date(2025, 1, d)) for d in range(1, 9)] + [(None, 2, date(2025, 1, 3))], schema)
+    assert upsert_keyed(first, path, ["k", "day"], "day") == 9
+    before = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "keyed").glob("day=*")}
+    new = spark.createDataFrame([("a", 5, date(2025, 1, 3)), ("b", 6, date(2025, 1, 5)), (None, 7, date(2025, 1, 3))], schema)
+    assert upsert_keyed(new, path, ["k", "day"], "day") == 4
+    after = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "keyed").glob("day=*")}
+    assert {d for d in before if before[d] != after[d]} == {"day=2025-01-03", "day=2025-01-05"}
+    rows = {(r.k, r.day.day): r.v for r in read_keyed(spark, path, new.schema, "day").collect()}
+    assert rows == {("a", d): 1 for d in range(1, 9)} | {("a", 3): 5, (None, 3): 7, ("b", 5): 6}
+    assert upsert_keyed(new.limit(0), path, ["k", "day"], "day") == 0
+    some = read_keyed(spark, path, new.schema, "day").where(F.col("day") >= date(2025, 1, 7))
+    assert "PartitionFilters: [isnotnull(day" in some._jdf.queryExecution().executedPlan().toString()

@@ -6,10 +6,11 @@ import io
 import random
 
 import pandas as pd
+import pytest
 from conftest import RUN_TS
 from pyspark.sql import functions as F
 
-from estrato.operators import reports
+from estrato.operators import ordered, reports
 from estrato.operators.ordered import forward_fill
 from estrato.plans import sales
 
@@ -143,7 +144,9 @@ def test_coupons_fill_from_the_parent_line(spark):
     assert {r.src_table: r.reason for r in rejects.collect()} == {"t_202512_664": "missing_parent_column"}
 
 
-def test_forward_fill_is_the_pandas_one(spark):
+@pytest.mark.parametrize("summary", [ordered.SUMMARY_SPAN, 3])
+def test_forward_fill_is_the_pandas_one(spark, monkeypatch, summary):
+    monkeypatch.setattr(ordered, "SUMMARY_SPAN", summary)
     rnd = random.Random(3)
     rows = [
         (rnd.choice(["hot", "hot", "hot", "b", "c"]), i, rnd.choice([None, None, None, i]), rnd.choice([None, f"s{i}"]))
