@@ -10,7 +10,9 @@ import numpy as np
 import pytest
 
 from estrato.llm import substring_dedup
-from estrato.llm.substring_dedup import _numbered, dedup, repeated_windows
+from estrato.llm.substring_dedup import (
+    _numbered, anchor_places, batches_of, dedup, repeated_windows,
+)
 from estrato.llm.suffix_sort import Hashes, suffix_sort
 
 
@@ -91,10 +93,29 @@ def test_windows_of_many_contexts(monkeypatch, paired):
     assert got.tolist() == [counts[k] > 1 for k in keys]
 
 
+def test_long_texts_are_cut_without_losing_windows(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "PIECE", 1 << 10)
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(b"abc", k=n)) for n in (0, 199, 200, 1023, 1024, 1025, 5000, 300, 250)]
+    seen = []
+    anchors: dict = {}
+    for buffer, rows in batches_of(texts, 200):
+        assert len(buffer) <= 1 << 10
+        data = np.frombuffer(buffer, np.uint8)
+        places, _ = anchor_places(data, Hashes(data))
+        for k, start, at, n in rows:
+            assert buffer[at : at + n] == texts[k][start : start + n]
+            for i in range(n - 199):
+                seen.append((k, start + i))
+                window = texts[k][start + i : start + i + 200]
+                offset = int(places[at + i]) - at - i
+                assert 0 <= offset <= 160 and anchors.setdefault(window, offset) == offset
+    assert sorted(seen) == [(k, i) for k, t in enumerate(texts) for i in range(len(t) - 199)]
+
+
 @pytest.mark.parametrize("hot", [4096, 3])
 def test_every_repeated_byte_goes(spark, monkeypatch, hot):
     monkeypatch.setattr(substring_dedup, "HOT", hot)
-    monkeypatch.setattr(substring_dedup, "PIECE", 1 << 11)  # long texts are cut
     texts = _texts(random.Random(11))
     rows = [(i if i % 17 else None, t) for i, t in enumerate(texts)]
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, sha string").repartition(3)
