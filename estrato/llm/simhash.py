@@ -6,10 +6,16 @@ distinct fingerprint is indexed under its segments with one bit blanked out (64
 two such fingerprints share a variant.  Fingerprints of one variant are compared bit by bit,
 and a large group gives back a spanning forest of its links, so a group of thousands gives
 thousands of links, not their square.  Copies share a fingerprint and are compared once.
+
+Near copies by shingle similarity (``one_of_each``) meet in the same one-wildcard join over
+several independently seeded fingerprints of their distinct shingles: a pair that one seed
+misses meets by another.  Pairs that two fingerprints put far apart are dropped, the others
+are held against the shingles themselves.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +31,11 @@ SEED = 42
 #: Groups up to this size give back every link, larger ones a spanning forest.
 SHIFTED = 16
 BLOCK = 256
+#: Seeds of the fingerprints by which near copies meet; the last one makes a name of the set.
+SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xA0761D6478BD642F)
+FINGERPRINTS = ["f0", "f1", "f2"]
+#: Fingerprints that go with each variant, to drop far pairs before their texts are met.
+CARRIED = 2
 
 
 def segments(most: int) -> list[tuple[int, int]]:
@@ -74,16 +85,16 @@ def fingerprints(docs: DataFrame, keep: list[str], size: int = SHINGLE) -> DataF
     return rows.mapInArrow(run, out)
 
 
-def variants(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """(key, fp): the 64 one-wildcard segment variants of each distinct fingerprint."""
+def variants(fps: DataFrame, most: int = MOST_BITS, *keep: str) -> DataFrame:
+    """(key, fp): the 64 one-wildcard segment variants of each distinct fingerprint, with ``keep``."""
     value = F.lit(None)
     for start, bits in segments(most):
         segment = F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << bits) - 1))
         blank = F.expr(f"~shiftleft(1L, bit - {start})")
         value = F.when(F.col("bit").between(start, start + bits - 1), segment.bitwiseAND(blank)).otherwise(value)
-    each = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
+    each = fps.select("fp", *keep, F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit"))
     width = max(bits for _, bits in segments(most))
-    return each.select((F.shiftleft(F.col("bit").cast("long"), width) + value).alias("key"), "fp")
+    return each.select((F.shiftleft(F.col("bit").cast("long"), width) + value).alias("key"), "fp", *keep)
 
 
 def _forest(bits, most: int):
@@ -183,39 +194,168 @@ def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("w", words).withColumn("set", F.array_distinct(runs)).drop("w", "text")
 
 
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that share at least ``similarity`` of their shingles."""
+    both = pairs.join(sets.toDF("a", "p"), "a").join(sets.toDF("b", "q"), "b")
+    shared = F.size(F.array_intersect("p", "q"))
+    return both.where(shared >= similarity * (F.size("p") + F.size("q") - shared)).select("a", "b")
+
+
+def sketch_of(text: bytes, size: int) -> list[int]:
+    """A name of the set of distinct shingles and its fingerprints, as signed numbers.
+
+    Words and case are those of ``_shingle_sets``; equal sets have equal names.
+    """
+    import itertools
+
+    import numpy as np
+    import xxhash
+
+    words = text.decode().lower().encode().split()  # on bytes: the ASCII blanks only
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False)) if len(words) > size else [b" ".join(words)]
+    hashes = map(xxhash.xxh64_intdigest, set(shingles), itertools.repeat(SEED))
+    name, ones, n = np.zeros(1, np.uint64), np.zeros(64 * len(FINGERPRINTS), np.int64), 0
+    while len(block := np.fromiter(itertools.islice(hashes, 1 << 14), "<u8")):
+        z = block[:, None] + np.array(SEEDS, np.uint64)
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        bits = np.unpackbits(np.ascontiguousarray(z[:, :-1]).view(np.uint8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+        name += z[:, -1].sum(dtype=np.uint64)
+        n += len(block)
+    values = np.packbits(ones * 2 > n, bitorder="little").view("<i8")
+    return [int(name.view(np.int64)[0]), *values.tolist()]
+
+
+def sketches(docs: DataFrame, keep: list[str], size: int) -> DataFrame:
+    """``keep``, ``name`` and the fingerprints of the text's distinct shingles."""
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], whole_text().cast("binary").alias("_text"))
+    made = ["name", *FINGERPRINTS]
+    out = rows.drop("_text").select("*", *[F.lit(0).cast("long").alias(c) for c in made]).schema
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            each = [sketch_of(t, size) for t in batch.column("_text").to_pylist()]
+            each = np.array(each, np.int64).reshape(-1, len(made))
+            names = [c for c in batch.schema.names if c != "_text"]
+            columns = [*map(batch.column, names), *[pa.array(each[:, i].copy()) for i in range(len(made))]]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *made])
+
+    return rows.mapInArrow(run, out)
+
+
+def most_apart(similarity: float) -> int:
+    """Bits in which the carried fingerprints of texts of this similarity differ, and three
+    standard deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits = 64 * CARRIED
+    return int(bits * share + 3 * math.sqrt(bits * share * (1 - share)))
+
+
+def meeting_rows(sketched: DataFrame, most: int) -> DataFrame:
+    """(key, name, carried fingerprints): the variants under each of the seeds."""
+    carried = ["name", *FINGERPRINTS[:CARRIED]]
+    out = None
+    for i, f in enumerate(FINGERPRINTS):
+        each = variants(sketched.select(F.col(f).alias("fp"), F.struct(*carried).alias("_c")), most, "_c")
+        each = each.select((F.col("key") * len(FINGERPRINTS) + i).alias("key"), "_c.*")
+        out = each if out is None else out.union(each)
+    return out
+
+
+def _apart(bits, i, j):
+    """Differing bits of the rows i and j of carried fingerprints."""
+    import numpy as np
+
+    return sum(np.bitwise_count(f[i] ^ f[j]).astype(np.int16) for f in bits)
+
+
+def group_pairs(key, bits, bound: int):
+    """Places (a, b) of all pairs within ``bound`` bits in rows sorted by key."""
+    import numpy as np
+
+    n = len(key)
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if n else np.empty(0, int)
+    sizes = np.diff(np.r_[starts, n])
+    small = np.repeat(sizes, sizes) <= SHIFTED
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for k in range(1, SHIFTED):
+        i = np.flatnonzero(small[: n - k] & (key[k:] == key[: n - k])) if k < n else a[0]
+        if not len(i):
+            break
+        i = i[_apart(bits, i, i + k) <= bound]
+        a.append(i + k)
+        b.append(i)
+    for s, size in zip(starts[sizes > SHIFTED], sizes[sizes > SHIFTED], strict=True):
+        for at in range(s, s + size, BLOCK):
+            some = np.arange(at, min(at + BLOCK, s + size))
+            earlier = np.arange(s, some[-1] + 1)
+            near = _apart(bits, some[:, None], earlier[None, :]) <= bound
+            x, y = np.nonzero(near & (earlier < some[:, None]))
+            a.append(some[x])
+            b.append(earlier[y])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def candidate_pairs(rows: DataFrame, bound: int) -> DataFrame:
+    """Names (a, b) of rows that share a key and are within ``bound`` bits."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def out(key, name, *bits):
+            x, y = group_pairs(key, [f.view(np.uint64) for f in bits], bound)
+            pairs = np.unique(np.sort(np.stack([name[x], name[y]], 1), 1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        held = None  # a group may go over batches
+        for batch in batches:
+            columns = [c.to_numpy() for c in batch.columns]
+            held = columns if held is None else [np.concatenate(c) for c in zip(held, columns, strict=True)]
+            cut = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0
+            if cut:
+                yield out(*[c[:cut] for c in held])
+            held = [c[cut:] for c in held]
+        if held is not None and len(held[0]):
+            yield out(*held)
+
+    dealt = rows.repartition("key").sortWithinPartitions("key", "name")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with all their columns.
 
-    A group is what links connect: fingerprints within ``most`` bits whose texts share at
-    least ``similarity`` of their distinct shingles (intersection by union), or equal texts.
+    A group is what links connect: texts that share at least ``similarity`` of their distinct
+    shingles (intersection by union).  ``most`` sets the segments of the fingerprints by which
+    they meet; it is no threshold.
     The row with the least doc_id stays (null last), of rows that tie any one.  Null and
     empty texts are copies of each other.  Columns named as the helper ones are kept.
     """
     helper = docs.select("doc_id", whole_text().alias("text")).withColumn("hash", F.xxhash64("text"))
-    rows = fingerprints(helper, ["doc_id", "hash"], size)
+    rows = sketches(helper, ["doc_id", "hash"], size)
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
-    texts = written(rows.groupBy("fp", "hash").agg(F.min(order).alias("first"), F.count("*").alias("n")), "simhash-texts")
-    chosen = written(texts.groupBy("fp").agg(F.min("first").alias("chosen")), "simhash-chosen")
-    found = links(chosen.select("fp"), most).distinct()
-    side = chosen.select("fp", F.col("chosen.row").alias("row"))
-    pairs = found.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b").select("x", "y")
-    same = texts.join(chosen, "fp").where(F.col("first.row") != F.col("chosen.row"))
-    pairs = written(pairs.union(same.select("first.row", "chosen.row")), "simhash-pairs")
-
-    nodes = pairs.select("x").union(pairs.select("y")).distinct().toDF("row")
-    nodes = texts.join(nodes, texts["first.row"] == nodes["row"]).select("row", "first.doc_id", F.col("first.hash").alias("hash"))
-    nodes = checked_broadcast(written(nodes, "simhash-nodes").toDF("row", "_id", "_hash"), 24)
+    sketch = [F.first(f).alias(f) for f in FINGERPRINTS]
+    texts = written(rows.groupBy("name").agg(F.min(order).alias("first"), *sketch), "simhash-texts")
+    found = candidate_pairs(meeting_rows(texts, most), most_apart(similarity))
+    pairs = written(found.distinct(), "simhash-pairs")
+
+    nodes = pairs.select("a").union(pairs.select("b")).distinct().toDF("_name")
+    nodes = texts.join(nodes, texts["name"] == nodes["_name"]).select("name", "first.doc_id", F.col("first.hash").alias("hash"))
+    nodes = checked_broadcast(written(nodes, "simhash-nodes").toDF("name", "_id", "_hash"), 24)
     is_node = helper["doc_id"].eqNullSafe(nodes["_id"]) & (helper["hash"] == nodes["_hash"])
-    sets = _shingle_sets(helper.join(nodes, is_node).select("row", "text"), size).dropDuplicates(["row"])
+    sets = _shingle_sets(helper.join(nodes, is_node).select("name", "text"), size).dropDuplicates(["name"])
     sets = written(sets, "simhash-sets")
-    both = pairs.join(sets.toDF("x", "p"), "x").join(sets.toDF("y", "q"), "y")
-    shared = F.size(F.array_intersect("p", "q"))
-    alike = shared >= similarity * (F.size("p") + F.size("q") - shared)
-    rooted = components(both.where(alike).select("x", "y"))
+    rooted = components(_alike(pairs, sets, similarity))
 
-    grouped = texts.join(rooted, texts["first.row"] == rooted["node"], "left")
-    stay = grouped.groupBy(F.coalesce("root", F.col("first.row"))).agg(F.min("first").alias("first"))
+    grouped = texts.join(rooted, texts["name"] == rooted["node"], "left")
+    stay = grouped.groupBy(F.coalesce("root", "name")).agg(F.min("first").alias("first"))
     stay = stay.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash"), F.lit(True).alias("_stays"))
     keys = rows.groupBy("doc_id", "hash").agg(F.count("*").alias("n"))
     marks = keys.join(stay, keys["doc_id"].eqNullSafe(stay["_id"]) & (keys["hash"] == stay["_hash"]), "left")

@@ -108,3 +108,33 @@ def test_one_of_each_group_stays(spark):
     far = {100 + i for i, t in enumerate(near) if (fingerprint_of(t.encode(), 5) ^ fingerprint_of(base[i].encode(), 5)).bit_count() > 7}
     assert {i for i, _ in stayed if i is not None and 100 <= i < 300} <= far and len(far) < 10
     assert one_of_each(docs.limit(0)).count() == 0
+
+
+def _shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+
+def _alike(p, q):
+    return len(p & q) >= 0.8 * len(p | q)
+
+
+def test_copies_just_above_the_threshold_go(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(300):
+        a = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
+        b, s = list(a), _shingles(" ".join(a))
+        while True:  # change words as long as 0.8 is left
+            c = list(b)
+            c[rng.randrange(len(c))] = f"x{rng.randrange(5000)}"
+            if not _alike(s, _shingles(" ".join(c))):
+                break
+            b = c
+        texts += [" ".join(a), " ".join(b)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stayed = {r.doc_id for r in one_of_each(docs).collect()}
+    sets = list(map(_shingles, texts))
+    assert all(_alike(sets[i], sets[i + 1]) for i in range(0, 600, 2))
+    assert {i for i in range(0, 600, 2)} <= stayed
+    assert sum(i in stayed for i in range(1, 600, 2)) <= 15  # 95% are found
