@@ -36,6 +36,9 @@ SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xA0761D647
 FINGERPRINTS = ["f0", "f1", "f2"]
 #: Fingerprints that go with each variant, to drop far pairs before their texts are met.
 CARRIED = 2
+#: Of each text its so many nearest in a large group are tried first, then GROW times as many
+#: of those that verified links haven't joined to it yet, until none is left.
+FIRST, GROW = 4, 16
 
 
 def segments(most: int) -> list[tuple[int, int]]:
@@ -274,44 +277,61 @@ def _apart(bits, i, j):
     return sum(np.bitwise_count(f[i] ^ f[j]).astype(np.int16) for f in bits)
 
 
-def group_pairs(key, bits, bound: int):
-    """Places (a, b) of all pairs within ``bound`` bits in rows sorted by key."""
+def group_pairs(key, group, bits, bound: int, lo: int, hi: int):
+    """Places (a, b) of pairs within ``bound`` bits and not in one class, in rows sorted by key,
+    and the places that are needed to go on.
+
+    Of a row in a large group the pairs with earlier rows are ranked by their bits; those from
+    ``lo`` to ``hi`` are given.  If later ones are not in its class the row and all that are
+    ranked go on, so that the ranks are the same then.
+    """
     import numpy as np
 
     n = len(key)
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if n else np.empty(0, int)
     sizes = np.diff(np.r_[starts, n])
     small = np.repeat(sizes, sizes) <= SHIFTED
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for k in range(1, SHIFTED):
+    a, b, on = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(n, bool)
+    for k in range(1, SHIFTED if lo == 0 else 1):
         i = np.flatnonzero(small[: n - k] & (key[k:] == key[: n - k])) if k < n else a[0]
         if not len(i):
             break
-        i = i[_apart(bits, i, i + k) <= bound]
+        i = i[(_apart(bits, i, i + k) <= bound) & (group[i] != group[i + k])]
         a.append(i + k)
         b.append(i)
-    for s, size in zip(starts[sizes > SHIFTED], sizes[sizes > SHIFTED], strict=True):
+    ranked_too = sizes > (SHIFTED if lo == 0 else 0)
+    for s, size in zip(starts[ranked_too], sizes[ranked_too], strict=True):
         for at in range(s, s + size, BLOCK):
             some = np.arange(at, min(at + BLOCK, s + size))
             earlier = np.arange(s, some[-1] + 1)
-            near = _apart(bits, some[:, None], earlier[None, :]) <= bound
-            x, y = np.nonzero(near & (earlier < some[:, None]))
-            a.append(some[x])
-            b.append(earlier[y])
-    return np.concatenate(a), np.concatenate(b)
-
-
-def candidate_pairs(rows: DataFrame, bound: int) -> DataFrame:
-    """Names (a, b) of rows that share a key and are within ``bound`` bits."""
+            apart = _apart(bits, some[:, None], earlier[None, :])
+            near = (apart <= bound) & (earlier < some[:, None])
+            for i in np.flatnonzero(near.any(1)):
+                ranked = np.flatnonzero(near[i])
+                ranked = s + ranked[np.argsort(apart[i, ranked], kind="stable")]
+                now, later = ranked[lo:hi], ranked[hi:]
+                now = now[group[now] != group[some[i]]]
+                a.append(np.full(len(now), some[i]))
+                b.append(now)
+                if (group[later] != group[some[i]]).any():
+                    on[ranked] = on[some[i]] = True
+    return np.concatenate(a), np.concatenate(b), np.flatnonzero(on)
+
+
+def candidate_pairs(rows: DataFrame, bound: int, lo: int, hi: int) -> DataFrame:
+    """Names (a, b) of rows that share a key, are within ``bound`` bits and not in one class,
+    with a null ``key``; and ``key`` and name ``a`` of rows that go on beyond rank ``hi``."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def out(key, name, *bits):
-            x, y = group_pairs(key, [f.view(np.uint64) for f in bits], bound)
+        def out(key, name, group, *bits):
+            x, y, on = group_pairs(key, group, [f.view(np.uint64) for f in bits], bound, lo, hi)
             pairs = np.unique(np.sort(np.stack([name[x], name[y]], 1), 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            none = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(on), pa.int64())
+            yield pa.RecordBatch.from_arrays([none[0], pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[on]), pa.array(name[on]), none[1]], ["key", "a", "b"])
 
         held = None  # a group may go over batches
         for batch in batches:
@@ -319,13 +339,14 @@ def candidate_pairs(rows: DataFrame, bound: int) -> DataFrame:
             held = columns if held is None else [np.concatenate(c) for c in zip(held, columns, strict=True)]
             cut = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0
             if cut:
-                yield out(*[c[:cut] for c in held])
+                yield from out(*[c[:cut] for c in held])
             held = [c[cut:] for c in held]
         if held is not None and len(held[0]):
-            yield out(*held)
+            yield from out(*held)
 
+    rows = rows.select("key", "name", "group", *FINGERPRINTS[:CARRIED])
     dealt = rows.repartition("key").sortWithinPartitions("key", "name")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "key long, a long, b long")
 
 
 def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float = 0.8) -> DataFrame:
@@ -333,7 +354,8 @@ def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float
 
     A group is what links connect: texts that share at least ``similarity`` of their distinct
     shingles (intersection by union).  ``most`` sets the segments of the fingerprints by which
-    they meet; it is no threshold.
+    they meet; it is no threshold.  Only verified links join: what they have not joined is
+    tried until no met pair of different groups is left.
     The row with the least doc_id stays (null last), of rows that tie any one.  Null and
     empty texts are copies of each other.  Columns named as the helper ones are kept.
     """
@@ -343,16 +365,28 @@ def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
     sketch = [F.first(f).alias(f) for f in FINGERPRINTS]
     texts = written(rows.groupBy("name").agg(F.min(order).alias("first"), *sketch), "simhash-texts")
-    found = candidate_pairs(meeting_rows(texts, most), most_apart(similarity))
-    pairs = written(found.distinct(), "simhash-pairs")
+    todo = meeting_rows(texts, most).withColumn("group", F.col("name"))
+    found = written(candidate_pairs(todo, most_apart(similarity), 0, FIRST), "simhash-found")
 
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().toDF("_name")
+    nodes = found.select("a").union(found.select("b")).where("a is not null").distinct().toDF("_name")
     nodes = texts.join(nodes, texts["name"] == nodes["_name"]).select("name", "first.doc_id", F.col("first.hash").alias("hash"))
     nodes = checked_broadcast(written(nodes, "simhash-nodes").toDF("name", "_id", "_hash"), 24)
     is_node = helper["doc_id"].eqNullSafe(nodes["_id"]) & (helper["hash"] == nodes["_hash"])
     sets = _shingle_sets(helper.join(nodes, is_node).select("name", "text"), size).dropDuplicates(["name"])
     sets = written(sets, "simhash-sets")
-    rooted = components(_alike(pairs, sets, similarity))
+    verified, lo, hi = None, 0, FIRST
+    while True:
+        pairs = found.where("key is null").select("a", "b").distinct()
+        alike = written(_alike(pairs, sets, similarity), "simhash-alike")
+        verified = alike if verified is None else verified.union(alike)
+        rooted = components(verified)
+        left = found.where("key is not null").select("key", F.col("a").alias("name")).distinct()
+        if left.isEmpty():
+            break
+        lo, hi = hi, hi * GROW
+        todo = left.join(texts, "name").join(rooted, F.col("name") == rooted["node"], "left")
+        todo = todo.withColumn("group", F.coalesce("root", "name"))
+        found = written(candidate_pairs(todo, most_apart(similarity), lo, hi), "simhash-found")
 
     grouped = texts.join(rooted, texts["name"] == rooted["node"], "left")
     stay = grouped.groupBy(F.coalesce("root", "name")).agg(F.min("first").alias("first"))

@@ -138,3 +138,27 @@ def test_copies_just_above_the_threshold_go(spark):
     assert all(_alike(sets[i], sets[i + 1]) for i in range(0, 600, 2))
     assert {i for i in range(0, 600, 2)} <= stayed
     assert sum(i in stayed for i in range(1, 600, 2)) <= 15  # 95% are found
+
+
+def test_a_family_of_hundreds_is_joined_by_verified_links_only(spark):
+    rng = random.Random(12)
+    frame = [f"w{i}" for i in range(300)]
+
+    def other(words, n, tag):
+        words = list(words)
+        for at in rng.sample(range(len(words)), n):
+            words[at] = f"{tag}{rng.randrange(10**6)}"
+        return words
+
+    texts = []
+    for _ in range(100):  # much alike inside a triple, below 0.8 across
+        a = other(frame, 6, "y")
+        texts += [" ".join(a), " ".join(other(a, 3, "z")), " ".join(other(a, 3, "z"))]
+    sets = list(map(_shingles, texts))
+    n = len(texts)
+    alike = {(i, j) for j in range(n) for i in range(j) if _alike(sets[i], sets[j])}
+    assert 200 <= len(alike) < 2000
+    root = _roots(range(n), lambda i, j: (i, j) in alike)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stayed = {r.doc_id for r in one_of_each(docs).collect()}
+    assert set(root.values()) <= stayed and len(stayed) <= len(set(root.values())) * 1.05
