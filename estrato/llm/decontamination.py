@@ -6,14 +6,14 @@ Windows of five template words are hashed and joined with those of the benchmark
 item with other numbers or names still meets its source.
 
 Candidates are then aligned: the windows that a document and an item share, place by place,
-must be equal as templates, and the slots must be filled consistently, equal values where the
-item has equal values and different where it has different ones.  A document leaks an item if
-at least 0.8 of the item's windows are found so.
+must be equal as templates.  A window with the item's own values counts as it is; another one
+if each of its slots has the value that most windows of the alignment give to the item's value.
+A document leaks an item if at least 0.8 of the item's windows are found so.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from estrato.llm.common import checked_broadcast, whole_text
@@ -119,18 +119,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     windows = _aligned_windows(candidates, "doc_id", "_text", "text")
 
     found = windows.drop("text").join(asked, ["hash", "template"])
-    found = found.where(~F.col("literal") | (F.col("asked") == F.col("valued")))
-    pairs = F.filter(
+    found = found.withColumn("same", F.col("asked") == F.col("valued")).where(~F.col("literal") | F.col("same"))
+    keys = ["doc_id", "_text", "item_id", "item", "windows"]
+    slots = F.filter(
         F.arrays_zip("asked", "valued"), lambda p: p["asked"].startswith(SLOT)
     )
-    aligned = found.groupBy("doc_id", "_text", "item_id", "item", "windows", (F.col("place") - F.col("at")).alias("shift")).agg(
-        F.collect_set("at").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"),
+    each = found.select(
+        *keys, (F.col("place") - F.col("at")).alias("shift"), "at", "same", F.explode_outer(slots).alias("slot")
     )  # a shift has each place of the item once at most
-    n = F.size("slots")
-    one_to_one = (F.size(F.array_distinct("slots.asked")) == n) & (F.size(F.array_distinct("slots.valued")) == n)
-    places = aligned.where(one_to_one).withColumn("at", F.explode("places"))
-    out = places.groupBy("doc_id", "_text", "item_id", "item", "windows").agg(F.countDistinct("at").alias("matched"))
+    aligned = Window.partitionBy(*keys, "shift", "slot.asked")
+    times = F.count("*").over(Window.partitionBy(*keys, "shift", "slot.asked", "slot.valued"))
+    each = each.withColumn("_n", times)
+    is_asked = F.col("slot.asked") == F.col("slot.valued")
+    usual = F.max(F.struct("_n", is_asked.alias("is_asked"), F.col("slot.valued").alias("valued"))).over(aligned)
+    fits = F.col("same") | F.col("slot").isNull() | (usual["valued"] == F.col("slot.valued"))
+    places = each.withColumn("_fits", fits).groupBy(*keys, "shift", "at").agg(F.bool_and("_fits").alias("fits"))
+    places = places.where("fits")
+    out = places.groupBy(*keys).agg(F.countDistinct("at").alias("matched"))
     out = out.withColumn("similarity", F.col("matched") / F.col("windows"))
     out = out.where(F.col("similarity") >= similarity).withColumnRenamed("_text", "text_hash")
     return out.select("doc_id", "text_hash", "item_id", "matched", "windows", "similarity")

@@ -82,3 +82,24 @@ def test_many_repeats(spark):
     docs = spark.createDataFrame([(1, (item + " ") * 300), (2, " ".join(item.split()[:20]))], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item), (2, item)], "item_id long, text string")
     assert sorted((r.doc_id, r.item_id, r.similarity) for r in leaks(docs, bench).collect()) == [(1, 1, 1.0), (1, 2, 1.0)]
+
+
+def test_one_odd_slot_costs_its_windows_only(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(54)]
+    words[10] = words[40] = "12"
+    words[25] = "7"
+    item = " ".join(words)
+
+    def with_values(first, second, other):
+        return " ".join([*words[:10], first, *words[11:25], other, *words[26:40], second, *words[41:]])
+
+    docs = [
+        (1, with_values("12", "15", "7")),  # verbatim but for one number
+        (2, with_values("9", "9", "9")),  # new values that happen to be equal
+        (3, with_values("9", "9", "8")),
+        (4, with_values("9", "8", "6")),  # one of two new values is odd: 5 of 50 windows
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: (r.matched, r.windows) for r in leaks(docs, bench).collect()}
+    assert got == {1: (45, 50), 2: (50, 50), 3: (50, 50), 4: (45, 50)}
