@@ -8,6 +8,8 @@ item with other numbers or names still meets its source.
 Candidates are then aligned: the windows that a document and an item share, place by place,
 must be equal as templates.  A window with the item's own values counts as it is; another one
 if each of its slots has the value that most windows of the alignment give to the item's value.
+A second set of windows holds the plain lower-cased words, so that a copy in other case, whose
+names are not seen as such, meets its source too; a place of the item counts by either kind.
 A document leaks an item if at least 0.8 of the item's windows are found so.
 """
 
@@ -35,7 +37,7 @@ UNITS = (
     "hours?", "days?", "weeks?", "months?", "years?", "dollars?", "euros?", "cents?", "degrees?",
 )
 NUMBER = r"([0-9]+(?:[.,:][0-9]+)*)(?:[ ]?(" + "|".join(UNITS) + r")(?![\p{L}\p{Nd}]))?"
-NAME = r"\p{Lu}(?<=[\p{Ll},;:)] .)\p{Ll}+"
+NAME = r"\p{Lu}(?<=[\p{Ll},;:)] .)\p{Ll}[\p{L}\p{M}\p{Nd}]*"
 WORDS = r"[\p{L}\p{M}\p{Nd}]+"
 
 
@@ -57,6 +59,12 @@ def valued_words(marked_text: Column) -> Column:
     return F.regexp_extract_all(F.lower(marked_text), F.lit(f"({SLOT}[npu]{VALUE}[^ ]*|{WORDS})"), 1)
 
 
+def plain_words(marked_text: Column) -> Column:
+    """The same words without marks, so equal whatever the case of the text."""
+    word = f"(?:{SLOT}[npu]{VALUE})?((?<={VALUE})[^ ]+|{WORDS})"
+    return F.regexp_extract_all(F.lower(marked_text), F.lit(word), 1)
+
+
 def _each_window(words: str, make) -> Column:
     """``make`` of each place at which a window starts; none below five words."""
     places = F.sequence(F.lit(1), F.size(words) - (WINDOW - 1))
@@ -64,12 +72,13 @@ def _each_window(words: str, make) -> Column:
 
 
 def _aligned_windows(rows: DataFrame, *keep: str) -> DataFrame:
-    """A row for each window: its place, hash, template and valued words."""
+    """A row for each window: its place, and template, valued and plain words with hashes."""
     m = rows.withColumn("_m", marked(whole_text()))
-    m = m.select(*keep, template_words(F.col("_m")).alias("_t"), valued_words(F.col("_m")).alias("_v"))
+    m = m.select(*keep, template_words(F.col("_m")).alias("_t"), valued_words(F.col("_m")).alias("_v"), plain_words(F.col("_m")).alias("_p"))
     window = F.explode(_each_window("_t", lambda i: F.struct(
         i.alias("place"), F.xxhash64(F.slice("_t", i, WINDOW)).alias("hash"),
         F.slice("_t", i, WINDOW).alias("template"), F.slice("_v", i, WINDOW).alias("valued"),
+        F.xxhash64(F.slice("_p", i, WINDOW)).alias("plain_hash"), F.slice("_p", i, WINDOW).alias("plain"),
     )))
     return m.select(*keep, window.alias("w")).select(*keep, "w.*")
 
@@ -86,7 +95,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     windows = windows.drop("text").join(told, ["item_id", "item"])
     windows = windows.where(F.col("telling") | ~F.col("any_telling"))
     return windows.select(
-        "item_id", "item", F.col("place").alias("at"), "hash", "template",
+        "item_id", "item", F.col("place").alias("at"), "hash", "template", "plain_hash", "plain",
         F.col("valued").alias("asked"), F.when(F.col("any_telling"), F.col("n1")).otherwise(F.col("n")).alias("windows"),
         (~F.col("any_telling")).alias("literal"),
     )
@@ -104,13 +113,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     same text each.  Empty tables give an empty one.
     """
     asked = written(benchmark_windows(benchmark), "benchmark-windows")
-    hashes = checked_broadcast(written(asked.select("hash").distinct(), "benchmark-hashes"), 16)
+    hashes = asked.select("hash").union(asked.select("plain_hash")).distinct()
+    hashes = checked_broadcast(written(hashes, "benchmark-hashes"), 16)
     least = asked.agg(F.min(F.ceil(F.col("windows") * similarity))).first()[0]
     rows = _key(docs.select("doc_id", "text"))
-    words = rows.select("doc_id", "_text", template_words(marked(whole_text())).alias("_t"))
-    each = words.select(
-        "doc_id", "_text", F.explode(_each_window("_t", lambda i: F.xxhash64(F.slice("_t", i, WINDOW)))).alias("hash")
-    )
+    m = rows.select("doc_id", "_text", marked(whole_text()).alias("_m"))
+    words = m.select("doc_id", "_text", template_words(F.col("_m")).alias("_t"), plain_words(F.col("_m")).alias("_p"))
+    template = _each_window("_t", lambda i: F.xxhash64(F.slice("_t", i, WINDOW)))
+    plain = _each_window("_p", lambda i: F.xxhash64(F.slice("_p", i, WINDOW)))
+    each = words.select("doc_id", "_text", template.alias("_t"), plain.alias("_p"))
+    other = F.filter(F.zip_with("_t", "_p", lambda t, p: F.when(t != p, p)), lambda p: p.isNotNull())
+    each = each.select("doc_id", "_text", F.explode(F.concat("_t", other)).alias("hash"))
     met = each.join(hashes, "hash", "left_semi").groupBy("doc_id", "_text").agg(F.count("*").alias("n"))
     met = written(met.where(F.col("n") >= F.lit(least or 1)).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")), "candidates")
     met = checked_broadcast(met, 24)
@@ -118,9 +131,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     candidates = rows.join(met, same, "left_semi").dropDuplicates(["doc_id", "_text"])
     windows = _aligned_windows(candidates, "doc_id", "_text", "text")
 
-    found = windows.drop("text").join(asked, ["hash", "template"])
-    found = found.withColumn("same", F.col("asked") == F.col("valued")).where(~F.col("literal") | F.col("same"))
     keys = ["doc_id", "_text", "item_id", "item", "windows"]
+    windows = windows.drop("text")
+    plain = windows.drop("hash", "template").join(asked.drop("hash", "template"), ["plain_hash", "plain"])
+    found = windows.drop("plain_hash", "plain").join(asked.drop("plain_hash", "plain"), ["hash", "template"])
+    found = found.withColumn("same", F.col("asked") == F.col("valued")).where(~F.col("literal") | F.col("same"))
     slots = F.filter(
         F.arrays_zip("asked", "valued"), lambda p: p["asked"].startswith(SLOT)
     )
@@ -134,7 +149,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     usual = F.max(F.struct("_n", is_asked.alias("is_asked"), F.col("slot.valued").alias("valued"))).over(aligned)
     fits = F.col("same") | F.col("slot").isNull() | (usual["valued"] == F.col("slot.valued"))
     places = each.withColumn("_fits", fits).groupBy(*keys, "shift", "at").agg(F.bool_and("_fits").alias("fits"))
-    places = places.where("fits")
+    places = places.where("fits").select(*keys, "at").union(plain.select(*keys, "at"))
     out = places.groupBy(*keys).agg(F.countDistinct("at").alias("matched"))
     out = out.withColumn("similarity", F.col("matched") / F.col("windows"))
     out = out.where(F.col("similarity") >= similarity).withColumnRenamed("_text", "text_hash")

@@ -103,3 +103,16 @@ def test_one_odd_slot_costs_its_windows_only(spark):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = {r.doc_id: (r.matched, r.windows) for r in leaks(docs, bench).collect()}
     assert got == {1: (45, 50), 2: (50, 50), 3: (50, 50), 4: (45, 50)}
+
+
+def test_copies_in_other_case_are_found(spark):
+    item = (
+        "in the spring Natalia sold clips to some of her friends and then Robert bought 48 clips "
+        "from JavaScript fans while Natalia made half as many of them again in May"
+    )
+    short = "Count all the red apples there"
+    docs = [(1, item), (2, item.lower()), (3, item.title()), (4, item.upper()), (5, "then they said " + short), (6, item[: len(item) // 2].lower())]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.similarity) for r in leaks(docs, bench).collect()}
+    assert got == {(1, 1, 1.0), (2, 1, 1.0), (3, 1, 1.0), (4, 1, 1.0), (5, 2, 1.0)}
