@@ -128,6 +128,62 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.resampling import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: crc32 goes byte by byte through a table of 256 remainders, which the first query makes.
+OP12_SQL = r"""
+with recursive bit8 as (
+  select n::bigint as n, n::bigint as c, 0 as k from range(256) t(n)
+  union all
+  select n, case when c & 1 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end, k + 1 from bit8 where k < 8
+), tab as (
+  select list(c order by n) as t from bit8 where k = 8
+), texts as (
+  select row_number() over () as r, doc_id, 's' as side, text from documents
+  union all select row_number() over (), null, 't', text from benchmark
+), words as (
+  select r, side, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from texts
+), feats as (
+  select r, side, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as f from words
+), each as (
+  select r, side, f, count(*) as n from feats group by r, side, f
+), hashed as (
+  select f, xor(list_reduce([4294967295::bigint] || list_transform(range(0, len(h) // 2),
+      lambda i: ((strpos('0123456789ABCDEF', h[2 * i + 1]) - 1) * 16 + strpos('0123456789ABCDEF', h[2 * i + 2]) - 1)::bigint),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::bigint) % 10000 as bucket
+  from (select distinct f, hex(encode(f)) as h from each), tab
+), counts as (
+  select bucket, coalesce(sum(n) filter (where side = 's'), 0)::double as s, coalesce(sum(n) filter (where side = 't'), 0)::double as t
+  from each join hashed using (f) group by bucket
+), gains as (
+  select bucket, floor(1000 * ln((t + 1) * (st + 10000) / ((s + 1) * (tt + 10000))))::bigint as g
+  from counts, (select sum(s) as st, sum(t) as tt from counts)
+), weighed as (
+  select r, sum(n * g)::bigint as g, sum(n)::bigint as n from each join hashed using (f) join gains using (bucket)
+  where side = 's' group by r
+), scored as (
+  select doc_id, len(w) as n_words, coalesce(n, 0)::bigint as n_features,
+    coalesce(floor(g::double / n::double), 0)::bigint as weight,
+    ('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint as h
+  from words left join weighed using (r) where side = 's'
+), noisy as (
+  select *, weight + floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296::double)))::bigint as score from scored
+), ranked as (
+  select *, case when n_words >= 20 then row_number() over (partition by n_words >= 20 order by score desc, doc_id) end as place,
+    count(*) filter (where n_words >= 20) over () as total
+  from noisy
+)
+select doc_id, n_features, weight, score, case when place <= 25 * total // 100 then place end as rank from ranked
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_quality": (op1_quality, None),
     "op2_mixing": (op2_mixing, OP2_SQL),
@@ -139,4 +195,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
     "op10_embeddings": (op10_embeddings, None),
+    "op12_resampling": (op12_resampling, OP12_SQL),
 }
