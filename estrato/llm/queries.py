@@ -128,6 +128,50 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p
+  from documents
+), words as (
+  select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from pieces
+), runs as (
+  select lang, unnest(flatten(list_transform(range(1, 5), lambda k:
+    list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])))) as p from words
+), f as (
+  select lang, p, count(*) as a from runs group by lang, p
+), total as (
+  select lang, sum(a)::bigint as n from f where len(p) = 1 group by lang
+), cand as (
+  select lang, p, a from f where len(p) > 1 and a >= 30
+), cuts as (
+  select c.lang, c.p, c.a, k, x.a as l, y.a as r, (2000000::hugeint * c.a // (x.a + y.a))::bigint as score
+  from (select *, unnest(range(1, len(p))) as k from cand) c
+  join f x on x.lang = c.lang and x.p = c.p[1:k]
+  join f y on y.lang = c.lang and y.p = c.p[k + 1:len(c.p)]
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, p order by score, k) = 1
+), inside as (
+  select lang, p, max(a) as longer from (
+    select lang, a, unnest(flatten(list_transform(range(2, len(p)), lambda k:
+      list_transform(range(1, len(p) - k + 2), lambda i: p[i:i + k - 1])))) as p from cand
+  ) group by lang, p
+), ranked as (
+  select b.*, array_to_string(b.p, ' ') as phrase, row_number() over (
+    partition by b.lang order by score desc, b.a desc, encode(array_to_string(b.p, ' '))) as rank
+  from best b left join inside i on i.lang = b.lang and i.p = b.p
+  where longer is null or 100::hugeint * longer < 80::hugeint * b.a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000
+"""
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from estrato.llm.resampling import resample
 
@@ -184,6 +228,12 @@ select doc_id, n_features, weight, score, case when place <= 25 * total // 100 t
 """
 
 
+def op13_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from estrato.llm.identifiers import digest, identifiers
+
+    return digest(identifiers(table(spark, sf_dir, "documents")).rows)
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_quality": (op1_quality, None),
     "op2_mixing": (op2_mixing, OP2_SQL),
@@ -195,5 +245,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_packing": (op8_packing, None),
     "op9_simhash": (op9_simhash, None),
     "op10_embeddings": (op10_embeddings, None),
+    "op11_phrases": (op11_phrases, OP11_SQL),
     "op12_resampling": (op12_resampling, OP12_SQL),
+    "op13_identifiers": (op13_identifiers, None),
 }
