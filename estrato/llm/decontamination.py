@@ -5,12 +5,15 @@ a sentence) turn into typed placeholders, other words are lower-cased, signs are
 Windows of five template words are hashed and joined with those of the benchmark, so that an
 item with other numbers or names still meets its source.
 
-Candidates are then aligned: the windows that a document and an item share, place by place,
-must be equal as templates.  A window with the item's own values counts as it is; another one
-if each of its slots has the value that most windows of the alignment give to the item's value.
-A second set of windows holds the plain lower-cased words, so that a copy in other case, whose
-names are not seen as such, meets its source too; a place of the item counts by either kind.
-A document leaks an item if at least 0.8 of the item's windows are found so.
+Candidates are then aligned: an alignment of an item is one shift between its places and the
+document's.  A window with the item's own values counts as it is; another one if its alignment
+has enough windows and each of its slots has the value that most windows of the alignment give to
+the item's value.  A second set of windows holds the plain lower-cased words, so that a copy in
+other case, whose names are not seen as such, meets its source too.
+Windows of several alignments count together only in order: the longest chain of windows that
+goes up in the item and in the document, so that a window of the document stands for one place
+of the item.  A document leaks an item if a chain in one stretch of it, of two to three times
+the item's length, has at least 0.8 of the item's windows.
 """
 
 from __future__ import annotations
@@ -26,6 +29,9 @@ SIMILARITY = 0.8
 #: Fewer plain words than this and a window says too little; it counts only for items that
 #: have no better one, and then only with the same values.
 LITERALS = 3
+#: Windows of one alignment from which on windows with other values count, and the share of the
+#: item's windows if that is less.
+ALIGNED, ALIGNED_SHARE = 5, 0.2
 #: Marks a placeholder, and parts it from the value it stands for.
 SLOT, VALUE = "\u0002", "\u0001"
 
@@ -36,7 +42,9 @@ UNITS = (
     "miles?", "feet", "foot", "inch(?:es)?", "pounds?", "ounces?", "seconds?", "minutes?",
     "hours?", "days?", "weeks?", "months?", "years?", "dollars?", "euros?", "cents?", "degrees?",
 )
-NUMBER = r"([0-9]+(?:[.,:][0-9]+)*)(?:[ ]?(" + "|".join(UNITS) + r")(?![\p{L}\p{Nd}]))?"
+NUMBER = (
+    r"(?<![\p{L}\p{M}\p{Nd}])([0-9]+(?:[.,:][0-9]+)*)(?:[ ]?(" + "|".join(UNITS) + r")(?![\p{L}\p{Nd}])|(?![\p{L}\p{M}\p{Nd}]))"
+)
 NAME = r"\p{Lu}(?<=[\p{Ll},;:)] .)\p{Ll}[\p{L}\p{M}\p{Nd}]*"
 WORDS = r"[\p{L}\p{M}\p{Nd}]+"
 
@@ -72,22 +80,28 @@ def _each_window(words: str, make) -> Column:
 
 
 def _aligned_windows(rows: DataFrame, *keep: str) -> DataFrame:
-    """A row for each window: its place, and template, valued and plain words with hashes."""
+    """A row for each window: its place, the hashes of its template and plain words, and the
+    values of its slots (null for a plain word)."""
     m = rows.withColumn("_m", marked(whole_text()))
     m = m.select(*keep, template_words(F.col("_m")).alias("_t"), valued_words(F.col("_m")).alias("_v"), plain_words(F.col("_m")).alias("_p"))
+    m = m.select(*keep, "_t", "_p", F.transform("_v", lambda v: F.when(v.startswith(SLOT), v)).alias("_v"))
     window = F.explode(_each_window("_t", lambda i: F.struct(
-        i.alias("place"), F.xxhash64(F.slice("_t", i, WINDOW)).alias("hash"),
-        F.slice("_t", i, WINDOW).alias("template"), F.slice("_v", i, WINDOW).alias("valued"),
-        F.xxhash64(F.slice("_p", i, WINDOW)).alias("plain_hash"), F.slice("_p", i, WINDOW).alias("plain"),
+        i.alias("place"), *_hashes("_t", i, "hash"), *_hashes("_p", i, "plain_hash"), F.slice("_v", i, WINDOW).alias("values"),
     )))
     return m.select(*keep, window.alias("w")).select(*keep, "w.*")
 
 
+def _hashes(words: str, i: Column, name: str) -> list[Column]:
+    """Two independent 64-bit hashes of a window, to join by and to verify."""
+    w = F.slice(words, i, WINDOW)
+    return [F.xxhash64(w).alias(name), F.xxhash64(F.lit("verify"), w).alias(f"{name}_2")]
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """The windows that an item is known by, and their number ``windows``."""
+    """The windows that an item is known by, their number ``windows`` and the item's length."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", "text")
     windows = _aligned_windows(items.distinct(), "item_id", "text").withColumn("item", F.xxhash64("text"))
-    slots = F.size(F.filter("template", lambda w: w.startswith(SLOT)))
+    slots = F.size(F.filter("values", lambda v: v.isNotNull()))
     windows = windows.withColumn("telling", slots <= WINDOW - LITERALS)
     told = windows.groupBy("item_id", "item").agg(
         F.max("telling").alias("any_telling"), F.count_if("telling").alias("n1"), F.count("*").alias("n")
@@ -95,12 +109,28 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     windows = windows.drop("text").join(told, ["item_id", "item"])
     windows = windows.where(F.col("telling") | ~F.col("any_telling"))
     return windows.select(
-        "item_id", "item", F.col("place").alias("at"), "hash", "template", "plain_hash", "plain",
-        F.col("valued").alias("asked"), F.when(F.col("any_telling"), F.col("n1")).otherwise(F.col("n")).alias("windows"),
-        (~F.col("any_telling")).alias("literal"),
+        "item_id", "item", F.col("place").alias("at"), "hash", "hash_2", "plain_hash", "plain_hash_2",
+        F.col("values").alias("asked"), F.when(F.col("any_telling"), F.col("n1")).otherwise(F.col("n")).alias("windows"),
+        F.col("n").alias("length"), (~F.col("any_telling")).alias("literal"),
     )
 
 
+def longest_chain(pairs: Column) -> Column:
+    """The length of the longest chain that goes up in both numbers of (place, at) pairs.
+
+    Pairs come in order of place; those of one place from the last to the first ``at``, so that
+    a chain has one of them.  The state is the least end of a chain of each length.
+    """
+
+    def longer(ends, at):
+        shorter = F.size(F.filter(ends, lambda e: e < at))
+        rest = F.slice(ends, shorter + 2, F.greatest(F.size(ends) - shorter - 1, F.lit(0)))
+        return F.concat(F.slice(ends, 1, shorter), F.array(at), rest)
+
+    ordered = F.transform(F.array_sort(F.transform(pairs, lambda p: F.struct(p["place"].alias("place"), (-p["at"]).alias("back")))), lambda p: -p["back"])
+    return F.size(F.aggregate(ordered, F.array().cast("array<int>"), longer))
+
+
 def _key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_text", F.xxhash64(whole_text()))
 
@@ -128,36 +158,77 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     met = written(met.where(F.col("n") >= F.lit(least or 1)).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")), "candidates")
     met = checked_broadcast(met, 24)
     same = rows["doc_id"].eqNullSafe(met["_id"]) & (rows["_text"] == met["_hash"])
-    candidates = rows.join(met, same, "left_semi").dropDuplicates(["doc_id", "_text"])
-    windows = _aligned_windows(candidates, "doc_id", "_text", "text")
-
-    keys = ["doc_id", "_text", "item_id", "item", "windows"]
-    windows = windows.drop("text")
-    plain = windows.drop("hash", "template").join(asked.drop("hash", "template"), ["plain_hash", "plain"])
-    found = windows.drop("plain_hash", "plain").join(asked.drop("plain_hash", "plain"), ["hash", "template"])
-    found = found.withColumn("same", F.col("asked") == F.col("valued")).where(~F.col("literal") | F.col("same"))
-    slots = F.filter(
-        F.arrays_zip("asked", "valued"), lambda p: p["asked"].startswith(SLOT)
-    )
-    each = found.select(
-        *keys, (F.col("place") - F.col("at")).alias("shift"), "at", "same", F.explode_outer(slots).alias("slot")
-    )  # a shift has each place of the item once at most
-    aligned = Window.partitionBy(*keys, "shift", "slot.asked")
-    times = F.count("*").over(Window.partitionBy(*keys, "shift", "slot.asked", "slot.valued"))
-    each = each.withColumn("_n", times)
-    is_asked = F.col("slot.asked") == F.col("slot.valued")
-    usual = F.max(F.struct("_n", is_asked.alias("is_asked"), F.col("slot.valued").alias("valued"))).over(aligned)
-    fits = F.col("same") | F.col("slot").isNull() | (usual["valued"] == F.col("slot.valued"))
-    places = each.withColumn("_fits", fits).groupBy(*keys, "shift", "at").agg(F.bool_and("_fits").alias("fits"))
-    places = places.where("fits").select(*keys, "at").union(plain.select(*keys, "at"))
-    out = places.groupBy(*keys).agg(F.countDistinct("at").alias("matched"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # dealt out by number: what a candidate unfolds to is much more than its text
+    candidates = rows.join(met, same, "left_semi").repartition(tasks, "doc_id", "_text").dropDuplicates(["doc_id", "_text"])
+    windows = _aligned_windows(candidates, "doc_id", "_text")
+    key = ["doc_id", "_text"]
+    asked = checked_broadcast(asked, 160)
+    by_template = F.col("hash") == F.col("_hash")
+    by_plain = (F.col("plain_hash") == F.col("_plain")) & (F.col("plain_hash_2") == F.col("_plain_2"))
+    mine = windows.toDF(*key, "place", "_hash", "_hash_2", "_plain", "_plain_2", "values")
+    plain = mine.join(asked, by_plain).select(*key, "item_id", "item", "windows", "length", "place", "at")
+    found = mine.join(asked, by_template & (F.col("hash_2") == F.col("_hash_2"))).withColumn("same", by_plain)
+    found = found.where(~F.col("literal") | F.col("same"))
+    aligned = found.select(
+        *key, "item_id", "item", "windows", "length", (F.col("place") - F.col("at")).alias("shift"), "at", "same",
+        F.filter(F.arrays_zip("asked", "values"), lambda p: p["asked"].isNotNull()).alias("slots"),
+    )
+    fit = _consistent(aligned, [*key, "item_id", "item", "windows", "length"])
+    pairs = fit.select(*key, "item_id", "item", "windows", "length", (F.col("at") + F.col("shift")).alias("place"), "at")
+    pairs = pairs.union(plain)
+    # stretches of three lengths, beginning at each length: what is within two lengths is within one of them
+    stretch = F.floor(F.col("place") / (F.col("length") + 2 * WINDOW)).cast("int")
+    pairs = pairs.withColumn("stretch", F.explode(F.sequence(stretch - 2, stretch)))
+    one = F.collect_set(F.struct("place", "at")).alias("pairs")
+    chains = pairs.groupBy(*key, "item_id", "item", "windows", "stretch").agg(one, F.countDistinct("at").alias("places"))
+    chains = chains.where(F.col("places") / F.col("windows") >= similarity).withColumn("chain", longest_chain(F.col("pairs")))
+    out = chains.groupBy(*key, "item_id", "item", "windows").agg(F.max("chain").cast("long").alias("matched"))
     out = out.withColumn("similarity", F.col("matched") / F.col("windows"))
     out = out.where(F.col("similarity") >= similarity).withColumnRenamed("_text", "text_hash")
     return out.select("doc_id", "text_hash", "item_id", "matched", "windows", "similarity")
 
 
+def _consistent(aligned: DataFrame, key: list[str]) -> DataFrame:
+    """(key, shift, at) of the windows that count: those with the item's values, and those of an
+    alignment with enough consistent windows whose slots have its usual values.
+
+    An alignment has each place of the item once at most, so its windows are a bounded group.
+    """
+    window = F.struct("at", "same", "slots")
+    groups = aligned.groupBy(*key, "shift").agg(F.collect_list(window).alias("w"))
+    given = F.flatten(F.transform("w", lambda w: w["slots"]))
+    groups = groups.withColumn("given", given)
+    # a conflict: another value of the same asked one is more frequent; of equal ones the item's own
+    # value wins, then the greatest
+    def times(s):
+        return F.size(F.filter("given", lambda g: (g["asked"] == s["asked"]) & g["values"].eqNullSafe(s["values"])))
+
+    ranked = F.transform(F.array_distinct("given"), lambda s: F.struct(
+        s["asked"].alias("asked"), times(s).alias("n"), s["asked"].eqNullSafe(s["values"]).alias("own"), s["values"].alias("values"),
+    ))
+    groups = groups.withColumn("ranked", ranked)
+
+    def usual(s):
+        better = lambda r: (r["asked"] == s["asked"]) & (F.struct(r["n"], r["own"], r["values"]) > F.struct(s["n"], s["own"], s["values"]))
+        return ~F.exists("ranked", better)
+
+    groups = groups.withColumn("usual", F.transform(F.filter("ranked", usual), lambda r: F.struct(r["asked"].alias("asked"), r["values"].alias("values"))))
+    in_usual = lambda s: F.exists("usual", lambda u: (u["asked"] == s["asked"]) & u["values"].eqNullSafe(s["values"]))
+    fits = F.filter("w", lambda w: w["same"] | F.forall(w["slots"], in_usual))
+    groups = groups.select(*key, "shift", fits.alias("w"))
+    least = F.least(F.lit(float(ALIGNED)), F.col("windows") * ALIGNED_SHARE)
+    enough = F.size("w") >= least
+    kept = F.filter("w", lambda w: w["same"] | enough)
+    return groups.select(*key, "shift", F.explode(kept).alias("w")).select(*key, "shift", F.col("w.at").alias("at"))
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no item, with all their columns."""
+    """The rows of ``docs`` that leak no item, with all their columns.
+
+    A row goes with all rows of the same doc_id and text, a null id being an id; null, empty and
+    short texts stay; columns may have any names; an empty benchmark leaves every row.
+    """
     bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     bad = checked_broadcast(written(bad, "leaks"), 24)
     same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])

@@ -8,7 +8,7 @@ import re
 from conftest import SF
 
 from estrato.llm.common import table
-from estrato.llm.decontamination import SLOT, clean, leaks, marked, template_words, valued_words
+from estrato.llm.decontamination import SLOT, clean, leaks, longest_chain, marked, template_words, valued_words
 from estrato.llm.queries import op6_decontamination
 
 
@@ -116,3 +116,51 @@ def test_copies_in_other_case_are_found(spark):
     bench = spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")
     got = {(r.doc_id, r.item_id, r.similarity) for r in leaks(docs, bench).collect()}
     assert got == {(1, 1, 1.0), (2, 1, 1.0), (3, 1, 1.0), (4, 1, 1.0), (5, 2, 1.0)}
+
+
+def test_parts_and_lists_are_not_whole_items(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(50)]
+    item = " ".join(rng.choices(words, k=30))
+    labels = "apple pear plum fig kiwi lime date nut".split()
+    prices = "prices were " + " ".join(f"{labels[i % 8]} {11 + i}" for i in range(14))
+    names = [f"{a}{b}" for a in "bdfgklm" for b in ("an", "el", "ip", "or", "um")]
+    plain = " ".join(names[:30])
+    halves = [" ".join(names[:15]), " ".join(names[15:30])]
+    listed = "stock list " + " ".join(f"{rng.choice(labels)} {rng.randrange(90)}" for _ in range(3000))
+    docs = [
+        (1, item), (2, " ".join(item.split()[:20])), (3, " ".join(item.split()[:12])), (4, " ".join(item.split()[9:21]) + " x " + item.split()[0]),
+        (5, prices), (6, " ".join(prices.split()[:16])), (7, listed), (8, "x " * 400 + prices.replace("pear 12", "pear 99")),
+        (9, plain), (10, f"{halves[1]} {halves[0]}"), (11, f"{halves[0]} and then {halves[1]}"), (12, f"{halves[0]} {'z ' * 5000} {halves[1]}"),
+        (13, " ".join([halves[0]] * 40)), (14, "w12 " * 500), (15, " ".join(f"{w} {i}" for i, w in enumerate(labels * 50))),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, prices), (3, plain)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.similarity for r in leaks(docs, bench).collect()}
+    assert set(got) == {(1, 1), (5, 2), (8, 2), (9, 3), (11, 3), (15, 2)}  # 15 is the list with other numbers
+    assert got[1, 1] == got[5, 2] == got[9, 3] == 1.0 and got[11, 3] == 22 / 26
+
+
+def test_numbers_begin_at_a_word(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([("w12 12w 3x4 5 1st 10km 7%",)], "text string")
+    got = rows.select(template_words(marked(F.col("text"))).alias("t")).first().t
+    assert [w.replace(SLOT, "$") for w in got] == ["w12", "12w", "3x4", "$n", "1st", "$n", "$u", "$n", "$u"]
+
+
+def test_longest_chain(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+
+    def plain(pairs):
+        best = {}
+        for p in sorted(pairs):
+            best[p] = 1 + max((n for q, n in best.items() if q[0] < p[0] and q[1] < p[1]), default=0)
+        return max(best.values(), default=0)
+
+    cases = [[(rng.randrange(12), rng.randrange(12)) for _ in range(rng.randrange(1, 30))] for _ in range(60)]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, p array<struct<place:int,at:int>>")
+    got = {r.i: r.n for r in df.select("i", longest_chain(F.col("p")).alias("n")).collect()}
+    assert got == {i: plain(c) for i, c in enumerate(cases)}
