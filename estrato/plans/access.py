@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timedelta
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,9 @@ from estrato.operators.joins import (
 )
 from estrato.operators.shape import align_to_schema, drop_blank_keys
 from estrato.session import written
-from estrato.sources.tables import (
-    append_batch, append_new, read_appended, read_current, write_version,
-)
+from estrato.sources.buckets import insert_bucketed
+from estrato.sources.ledger import Ledger, read_folders
+from estrato.sources.tables import append_batch, read_current, write_version
 
 OTHERS, CHECK = "OUTROS", "CHECK"
 
@@ -344,6 +345,23 @@ def gold_access(facts: Mapping[str, DataFrame], gold: DataFrame, keys: Sequence[
 GOLD_KEYS = ("origem", "id_acesso")
 
 
+def access_tables(root: str) -> dict[str, str]:
+    """Where each layer of both sources is below ``root``."""
+    layers = {"bronze": "bronze", "silver": "silver_trans", "context": "silver_ctx"}
+    out = {f"{layer}_{x}": f"{root}/{folder}/access_{x.lower()}" for layer, folder in layers.items() for x in "LQ"}
+    return out | {"gold": f"{root}/gold/access"}
+
+
+def access_ledger(spark, root: str) -> Ledger:
+    return Ledger(spark, f"{root}/control/ledger", access_tables(root))
+
+
+def read_gold(spark, root: str) -> DataFrame:
+    """The gold fact: the folders that the ledger counts."""
+    folders = access_ledger(spark, root).folders("gold")
+    return read_folders(spark, access_tables(root)["gold"], schemas.GOLD_ACCESS, folders)
+
+
 def load_access(
     spark, root: str, batch: str, run_ts: datetime, lookups: Mapping[str, DataFrame],
     extracts: Mapping[str, DataFrame], gold_keys: Sequence[str] = GOLD_KEYS,
@@ -351,49 +369,52 @@ def load_access(
     """Run both sources through all layers below ``root``; returns new rows per table.
 
     ``extracts`` holds the rows of ``extract_l`` as ``L`` and of ``extract_q`` as ``Q``.
-    Every step reads the whole layer below and adds what is missing, so a run after a
-    failed one repairs it, and a run over the same input adds nothing.  An extract is
-    computed once, and the largest id of Q is stored as its watermark, from which
-    ``next_min_id`` lets the next extract go on.  The counts of ``audit_q`` come with the
-    others.
+    Every step asks the ledger which folders below it its layer lacks and reads those: the new
+    batch, and what a failed run or a deleted folder has left open.  Bronze and gold are
+    inserts into buckets of keys, so that a batch meets the keys of its buckets only.  A run
+    over the same input adds nothing.  An extract is computed once, and the largest id of Q
+    is stored as its watermark, from which ``next_min_id`` lets the next extract go on.  The
+    counts of ``audit_q`` are of the rows that this run has brought to silver.
     """
     added: dict[str, int] = {}
+    paths, ledger = access_tables(root), access_ledger(spark, root)
     extracts = {name: written(rows, f"extract-{name}") for name, rows in extracts.items()}
     keyed_l, no_voucher = bronze_l(extracts["L"], run_ts)
     keyed_q, _ = bronze_q(extracts["Q"], run_ts)
-    bronze = {
-        "L": (keyed_l, "nrvoucher", f"{root}/bronze/access_l"),
-        "Q": (keyed_q, "idacesso", f"{root}/bronze/access_q"),
-    }
-    for name, (rows, key, path) in bronze.items():
-        added[f"bronze_{name}"] = append_new(rows, path, [key], [F.col("payload").asc()], batch)
+    for name, rows, key in (("bronze_L", keyed_l, "nrvoucher"), ("bronze_Q", keyed_q, "idacesso")):
+        todo = ledger.todo(name, batch)
+        added[name] = insert_bucketed(rows, paths[name], [key], [F.col("payload").asc()], batch)
+        ledger.record(todo, added[name], run_ts)
     added["without_voucher"] = append_batch(no_voucher, f"{root}/bronze/access_l_rejects", batch)
 
-    silver = {
-        "L": silver_l(read_appended(spark, bronze["L"][2], keyed_l.schema)),
-        "Q": silver_q(read_appended(spark, bronze["Q"][2], keyed_q.schema), "bronze.access_q"),
-    }
-    facts: dict[str, DataFrame] = {}
-    for name, rows in silver.items():
-        path = f"{root}/silver_trans/access_{name.lower()}"
-        have = read_appended(spark, path, rows.schema, without_batch=batch)
-        added[f"silver_{name}"] = append_batch(not_in(rows, have, ["id_acesso"]), path, batch)
-
-        typed = read_appended(spark, path, rows.schema)
-        fact = access_fact(
-            typed, lookups[name], "active", f"source:{name}", run_ts, drop_unlabelled=name == "Q"
+    def step(layer: str, source: str, schema, make) -> DataFrame:
+        """The rows of this run's folder of ``layer``, made from what it lacks of ``source``."""
+        todo = ledger.todo(layer, batch, [source])
+        rows = make(read_folders(spark, paths[source], schema, todo.folders(source)))
+        added[layer] = append_batch(rows, paths[layer], batch)
+        ledger.record(todo, added[layer], run_ts)
+        return read_folders(spark, paths[layer], rows.schema, [batch])
+
+    made: dict[str, tuple[DataFrame, DataFrame]] = {}
+    for name, schema in (("L", keyed_l.schema), ("Q", keyed_q.schema)):
+        typed = silver_l if name == "L" else partial(silver_q, source_table="bronze.access_q")
+        silver = step(f"silver_{name}", f"bronze_{name}", schema, typed)
+        fact = partial(
+            access_fact, lookup=lookups[name], active="active", source_file=f"source:{name}", run_ts=run_ts,
+            drop_unlabelled=name == "Q",
         )
-        path = f"{root}/silver_ctx/access_{name.lower()}"
-        have = read_appended(spark, path, fact.schema, without_batch=batch)
-        added[f"context_{name}"] = append_batch(not_in(fact, have, ["id_acesso"]), path, batch)
-        facts[name] = read_appended(spark, path, fact.schema)
+        made[name] = silver, step(f"context_{name}", f"silver_{name}", silver.schema, fact)
 
-    path = f"{root}/gold/access"
-    have = read_appended(spark, path, schemas.GOLD_ACCESS, without_batch=batch)
-    added["gold"] = append_batch(gold_access(facts, have, gold_keys), path, batch)
+    todo = ledger.todo("gold", batch, ["context_L", "context_Q"])
+    facts = {
+        name: read_folders(spark, paths[f"context_{name}"], fact.schema, todo.folders(f"context_{name}"))
+        for name, (_, fact) in made.items()
+    }
+    counts = [r.folder for r in todo.kept.select("folder").distinct().collect()]
+    added["gold"] = insert_bucketed(union_origin(facts), paths["gold"], list(gold_keys), None, batch, batches=counts)
+    ledger.record(todo, added["gold"], run_ts)
 
-    typed = read_appended(spark, f"{root}/silver_trans/access_q", silver["Q"].schema)
-    for row in audit_q(typed, facts["Q"]).collect():  # two counts
+    for row in audit_q(*made["Q"]).collect():  # two counts
         added[f"audit_{row['check']}"] = row["rows"]
     path = f"{root}/watermarks"
     newest_id = watermark_row(extracts["Q"], *WATERMARK, F.col("idAcesso"), run_ts)

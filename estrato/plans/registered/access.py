@@ -6,7 +6,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from estrato import schemas
 from estrato.functions.payload import field_or_null, payload_fields
 from estrato.operators.incremental import insert_new
 from estrato.plans import access
@@ -15,7 +14,6 @@ from estrato.plans.registered.common import (
 )
 from estrato.plans.registered.relational import CONTACT_ROWS, contact_rows
 from estrato.session import work_dir
-from estrato.sources.tables import read_appended
 
 # ------------------------------------------------------------ flagship: gold fact
 
@@ -336,8 +334,7 @@ def layers(spark, sf):
     }
     for batch in ("1", "2"):
         access.load_access(spark, root, batch, RUN_TS, lookups, extracts)
-    gold = read_appended(spark, f"{root}/gold/access", schemas.GOLD_ACCESS)
-    return plain(gold)
+    return plain(access.read_gold(spark, root))
 
 
 # Of the items of a voucher the payload that sorts first is kept.  Payloads of one voucher

@@ -12,15 +12,17 @@ from estrato.functions.payload import field_or_null, payload_fields
 from estrato.operators.incremental import get_watermark, set_watermark, watermark_row
 from estrato.operators.joins import union_origin
 from estrato.plans.registered.common import (
-    RUN_MICROS, RUN_TS, cents, cents_sql, plain, table,
+    RUN_MICROS, RUN_TS, cents, cents_sql, money_sql, plain, table,
 )
 from estrato.plans.access import between_days
 from estrato.plans.weather import with_ingestion
 from estrato.session import work_dir
+from estrato.sources.buckets import insert_bucketed
 from estrato.sources.tables import (
-    append_batch, append_new, datasets_with_suffix, read_appended, read_current, read_evolving,
+    append_batch, datasets_with_suffix, read_appended, read_current,
     truncate, upsert, write_reports, write_version,
 )
+from estrato.streaming import event_time
 from estrato.streaming.micro_batch import insert_stream, new_files
 
 
@@ -74,18 +76,25 @@ from orders"""
 
 
 def evolved(spark, sf):
-    """A table whose later loads have a column more."""
+    """Loads of one table that gain a column and widen two: read by the schemas kept beside them."""
     o = table(spark, sf, "orders")
+    number = F.col("o_custkey").cast("int")
+    loads = [
+        o.where("o_orderkey % 3 = 0").select("o_orderkey", number.alias("customer"), F.col("o_orderdate").cast("date").alias("day")),
+        o.where("o_orderkey % 3 = 1").select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("customer"), F.col("o_orderdate").alias("day")),
+        o.where("o_orderkey % 3 = 2").select("o_orderkey", "o_orderstatus", (cents("o_totalprice").cast("decimal(20,0)") / 100).cast("decimal(18,2)").alias("customer")),
+    ]
     path = work_dir(spark, "evolve")
-    o.where("o_orderkey % 2 = 0").select("o_orderkey").write.parquet(f"{path}/batch=1")
-    o.where("o_orderkey % 2 = 1").select("o_orderkey", "o_orderstatus").write.parquet(f"{path}/batch=2")
-    return read_evolving(spark, path).select("o_orderkey", "o_orderstatus", F.col("batch").cast("int").alias("batch"))
+    for n, rows in enumerate(loads, 1):
+        append_batch(rows, path, str(n))
+    return plain(read_appended(spark, path))
 
 
-EVOLVED = """
-select o_orderkey, case when o_orderkey % 2 = 1 then o_orderstatus end as o_orderstatus,
-  cast(1 + o_orderkey % 2 as int) as batch from orders"""
-
+EVOLVED = f"""
+select o_orderkey, case when o_orderkey % 3 <> 0 then o_orderstatus end as o_orderstatus,
+  case when o_orderkey % 3 = 2 then {money_sql(cents_sql('o_totalprice'))} else concat(o_custkey, '.00') end as customer,
+  case o_orderkey % 3 when 0 then strftime(o_orderdate, '%Y-%m-%d 00:00:00') when 1 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as day
+from orders"""
 
 def inserted(spark, sf):
     """The rows that each of three inserts reports as new."""
@@ -93,7 +102,7 @@ def inserted(spark, sf):
     path = work_dir(spark, "inserted")
     order = [F.col("o_orderkey").asc()]
     loads = (rows.where(F.col("o_orderstatus") == "F"), rows, rows)
-    counts = [(i + 1, append_new(df, path, _KEYS, order, str(i))) for i, df in enumerate(loads)]
+    counts = [(i + 1, insert_bucketed(df, path, _KEYS, order, str(i))) for i, df in enumerate(loads)]
     return spark.createDataFrame(counts, "load int, new_rows long")
 
 
@@ -110,11 +119,12 @@ def insert_batches(spark, sf):
     rows = table(spark, sf, "orders").select(*_KEYS, "o_orderkey", "o_orderstatus")
     path = work_dir(spark, "insert")
     order = [F.col("o_orderkey").asc()]
-    append_new(rows.where(F.col("o_orderstatus") == "F"), path, _KEYS, order, "1")
-    append_new(rows, path, _KEYS, order, "2")
-    append_new(rows, path, _KEYS, order, "3")  # nothing is new any more
-    return spark.read.schema("o_custkey long, o_orderpriority string, o_orderkey long, "
-                             "o_orderstatus string, batch string").parquet(path)
+    insert_bucketed(rows.where(F.col("o_orderstatus") == "F"), path, _KEYS, order, "1")
+    insert_bucketed(rows, path, _KEYS, order, "2")
+    insert_bucketed(rows, path, _KEYS, order, "3")  # nothing is new any more
+    stored = spark.read.schema("o_custkey long, o_orderpriority string, o_orderkey long, "
+                               "o_orderstatus string, batch string").parquet(path)
+    return stored.select(*rows.columns, "batch")
 
 
 INSERT_BATCHES = """
@@ -218,7 +228,35 @@ STREAM_INSERT = """
 select event_id, user_id, event_type, cast(cast(ts as date) as varchar) as day,
   cast(props->>'$.k' as bigint) as k from events"""
 
+def first_events(spark, sf):
+    """Events as they arrive in two runs of one stream: what was held back until the second run
+    and all of the first run's last days come again; what is older than the delay is too late."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    early = F.col("ts") < F.lit(_TURN).cast("timestamp")
+    held = F.col("event_id") % 10 == 0
+    arrivals = [
+        events.where(early & ~held),
+        events.where(~early | held).unionByName(events.where(early & (F.col("ts") >= F.lit(_AGAIN).cast("timestamp")))),
+    ]
+    root = work_dir(spark, "events")
+    for n, rows in enumerate(arrivals):
+        rows.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = event_time.first_events(new_files(spark, f"{root}/in", events.schema), ["event_id"], "ts", "2 days")
+        event_time.append_stream(stream, f"{root}/out", f"{root}/state").awaitTermination()
+    return plain(spark.read.schema(events.schema).parquet(f"{root}/out"))
+
+
+_TURN, _AGAIN = "2024-01-15", "2024-01-10"
+FIRST_EVENTS = f"""
+with turn as (
+  select max(epoch_ms(ts)) - 2 * 24 * 3600 * 1000 as watermark from events
+  where ts < timestamp '{_TURN}' and event_id % 10 <> 0
+)
+select event_id, user_id, event_type, epoch_us(ts) as ts from events, turn
+where event_id % 10 <> 0 or ts >= timestamp '{_TURN}' or epoch_us(ts) > watermark * 1000"""
+
 QUERIES = {
+    "q_first_events": (first_events, FIRST_EVENTS),
     "q_truncate": (truncated, TRUNCATED),
     "q_run_windows": (run_windows, RUN_WINDOWS),
     "q_evolving": (evolved, EVOLVED),

@@ -22,6 +22,38 @@ def any_match(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def _at(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a short text into a file of its own, whole or not at all."""
+    fs, target = _at(spark, path)
+    _, part = _at(spark, f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    fs.rename(part, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A short text as it was put there."""
+    fs, target = _at(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a file that was put there."""
+    fs, target = _at(spark, path)
+    fs.delete(target, False)
+
+
 def escaped(name: str) -> str:
     """A file name as a glob that matches it alone."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", name)

@@ -8,6 +8,7 @@ the commit marker, so they never see half a table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,39 +16,52 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estrato.operators.audit import counted
-from estrato.operators.incremental import insert_new, merge_upsert
+from estrato.operators.incremental import merge_upsert
+from estrato.operators.shape import align_to_schema
 from estrato.session import written
 from estrato.sources.paths import any_match, matching
+from estrato.sources.schema_log import keep_schema, kept_schemas, same_types, widened
 
 
 def read_appended(
-    spark: SparkSession, path: str, schema: T.StructType, without_batch: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType | None = None, without_batch: str | None = None
 ) -> DataFrame:
-    """All loads of an appended table (no row if there is none yet)."""
+    """All loads of an appended table (no row if there is none yet).
+
+    Loads whose schema is not ``schema`` are read with their own, which is kept beside them,
+    and widened to it; no footer is read.  Without a schema the columns are those of all
+    loads, each of the type that holds all of its types (``widened``).
+    """
     if not any_match(spark, f"{path}/batch=*/_SUCCESS"):
-        return spark.createDataFrame([], schema)
-    read = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
-    df = spark.read.schema(read).parquet(path)
-    if without_batch is not None:
-        df = df.where(F.col("batch") != without_batch)
-    return df.select(*schema.names)
+        return spark.createDataFrame([], schema or T.StructType())
+    kept = kept_schemas(spark, path)
+    if schema is None:
+        schema = widened(list(kept))
+    odd = {s: batches for s, batches in kept.items() if not same_types(s, schema)}
+
+    def rows(of: T.StructType, only: Column) -> DataFrame:
+        read = T.StructType([*[f for f in of.fields if f.name != "batch"], T.StructField("batch", T.StringType())])
+        some = spark.read.schema(read).parquet(path).where(only)
+        return align_to_schema(some if without_batch is None else some.where(F.col("batch") != without_batch), schema)
+
+    others = [b for batches in odd.values() for b in batches]
+    out = rows(schema, ~F.col("batch").isin(others) if others else F.lit(True))
+    for of, batches in odd.items():
+        out = out.unionByName(rows(of, F.col("batch").isin(batches)))
+    return out
 
 
 def append_batch(df: DataFrame, path: str, batch: str) -> int:
-    """Write the rows of one load and return their number, from the write itself."""
+    """Write the rows of one load and return their number, from the write itself.
+
+    The schema is kept beside the rows, before them: a load with rows has one.
+    """
+    keep_schema(df, path, batch)
     rows, seen = counted(df)
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
     return seen.get["rows"]
 
 
-def append_new(
-    source: DataFrame, path: str, keys: Sequence[str], order_by: Sequence[Column], batch: str
-) -> int:
-    """Insert-or-ignore into an appended table; returns the number of new rows."""
-    target = read_appended(source.sparkSession, path, source.schema, without_batch=batch)
-    return append_batch(insert_new(target, source, keys, order_by), path, batch)
-
-
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Committed versions, oldest first."""
     return [p.rsplit("/", 1)[0] for p in matching(spark, f"{path}/version=*/_SUCCESS")]
@@ -77,19 +91,30 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str]) -> int:
     return write_version(merge_upsert(target, source, keys), path)
 
 
+MANIFEST = T.StructType([T.StructField("value", T.StringType()), T.StructField("folder", T.StringType())])
+
+
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, by: str) -> DataFrame:
-    """A table with a folder for each value of ``by`` (no row if there is none yet)."""
-    if not any_match(spark, f"{path}/{by}=*"):
+    """A table with a current folder for each value of ``by`` (no row if there is none yet).
+
+    The manifest names the folders; others below ``path`` are of writes that were replaced
+    or never ended, and aren't read.
+    """
+    current = read_current(spark, f"{path}/_manifest", MANIFEST).collect()  # a name for each folder
+    if not current:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{r.folder}" for r in current])
+    return rows.select(*schema.names)
 
 
 def upsert_keyed(source: DataFrame, path: str, keys: Sequence[str], by: str) -> int:
     """Upsert into a table with a folder for each value of ``by``, one of the keys.
 
     Only folders of values that the source has are read and replaced: the range of the
-    values is a partition filter, the values themselves are joined.  Returns the rows that
-    were written.
+    values is a partition filter, the values themselves are joined.  The new folders are
+    written beside the old ones and come to count together, by the manifest that is written
+    last: a reader sees all of a batch or nothing of it, and a write that fails in between
+    leaves the table as it was.  Returns the rows that were written.
     """
     spark = source.sparkSession
     source = written(source, "upsert")
@@ -99,10 +124,13 @@ def upsert_keyed(source: DataFrame, path: str, keys: Sequence[str], by: str) ->
     old = read_keyed(spark, path, source.schema, by)
     old = old.where(F.col(by).between(F.lit(ends["low"]), F.lit(ends["high"])))
     old = old.join(source.select(by).distinct(), by, "left_semi").select(*source.columns)
-    merged = written(merge_upsert(old, source, keys), "upsert")
-    rows, seen = counted(merged)
-    writer = rows.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    rows, seen = counted(merge_upsert(old, source, keys).hint("rebalance", by))
+    new = f"write={uuid.uuid4().hex}"
+    rows.write.partitionBy(by).parquet(f"{path}/{new}")
+    made = [p.rsplit("/", 1)[1] for p in matching(spark, f"{path}/{new}/{by}=*")]
+    added = spark.createDataFrame([(m, f"{new}/{m}") for m in made], MANIFEST)
+    before = read_current(spark, f"{path}/_manifest", MANIFEST)
+    write_version(merge_upsert(before, added, ["value"]).coalesce(1), f"{path}/_manifest")
     return seen.get["rows"]
 
 
@@ -141,8 +169,3 @@ def datasets_with_suffix(df: DataFrame, suffix: str) -> DataFrame:
 def truncate(spark: SparkSession, path: str, schema: T.StructType) -> int:
     """Empty a versioned table by a version without rows."""
     return write_version(spark.createDataFrame([], schema), path)
-
-
-def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose files may have gained columns: the union of their schemas."""
-    return spark.read.option("mergeSchema", "true").parquet(path)

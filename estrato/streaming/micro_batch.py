@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from estrato.sources.tables import append_new
+from estrato.sources.buckets import insert_bucketed
 
 
 def new_files(
@@ -35,6 +35,8 @@ def insert_stream(
 ) -> StreamingQuery:
     """Insert the rows with new keys, batch by batch, until all files are read.
 
+    A batch meets the keys of the buckets that its rows fall into, not the whole table.
+
     The checkpoint remembers the files that are done, in place of a watermark row.  A
     batch that is run again writes the same folder again, so a lost driver or executor
     leaves no double rows.  ``batch_prefix`` names the stream in those folders: a stream
@@ -42,7 +44,7 @@ def insert_stream(
     """
 
     def load(rows: DataFrame, batch: int) -> None:
-        append_new(transform(rows), path, keys, order_by, f"{batch_prefix}-{batch:010d}")
+        insert_bucketed(transform(rows), path, keys, order_by, f"{batch_prefix}-{batch:010d}")
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from estrato.plans import sales, weather
 from estrato.sources.files import header_csv, new_batch_id, raw_lines, text_lines
-from estrato.sources.tables import read_evolving
+from estrato.sources.schema_log import wider
+from estrato.sources.tables import append_batch, read_appended
 from estrato.sources.relational import jdbc_options, terminal_ids
 
 
@@ -127,11 +128,42 @@ def test_weather_history_files(spark, tmp_path):
     assert [tuple(r) for r in rejected.collect()] == [("bad.csv", "missing columns: id")]
 
 
-def test_a_table_may_gain_columns(spark, tmp_path):
+def test_a_table_may_gain_and_widen_columns(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.sql("select 1 as a").write.mode("append").parquet(path)
-    spark.sql("select 2 as a, 'x' as teste").write.mode("append").parquet(path)
-    assert sorted(tuple(r) for r in read_evolving(spark, path).select("a", "teste").collect()) == [(1, None), (2, "x")]
+    loads = [
+        "select 1 as a, cast(1.5 as float) as f", "select 2 as a, 'x' as teste", "select 3000000000 as a, cast(null as string) as teste",
+        "select cast(4.25 as decimal(6,2)) as a, cast(2 as double) as f",
+    ]
+    for n, sql in enumerate(loads):
+        append_batch(spark.sql(sql), path, str(n))
+    got = read_appended(spark, path)
+    assert {f.name: f.dataType.simpleString() for f in got.schema} == {"a": "decimal(21,2)", "f": "double", "teste": "string"}
+    rows = sorted((float(r.a), r.f, r.teste) for r in got.collect())
+    assert rows == [(1.0, 1.5, None), (2.0, None, "x"), (4.25, 2.0, None), (3e9, None, None)]
+    # a reader with a schema of its own gets it, whatever the loads have; a load that runs again may change its schema
+    assert [r.a for r in read_appended(spark, path, got.schema, without_batch="3").orderBy("a").collect()] == [1, 2, 3000000000]
+    append_batch(spark.sql("select 7 as a"), path, "3")
+    assert {f.name: f.dataType.simpleString() for f in read_appended(spark, path).schema}["a"] == "bigint"
+    assert read_appended(spark, path).count() == 4
+    append_batch(spark.sql("select date'2025-01-01' as a"), path, "4")
+    with pytest.raises(TypeError, match="a: no type holds both"):
+        read_appended(spark, path)
+
+
+def test_types_widen_by_the_lattice():
+    from pyspark.sql import types as T
+
+    d = T.DecimalType
+    for a, b, both in [
+        (T.ByteType(), T.ShortType(), T.ShortType()), (T.LongType(), T.IntegerType(), T.LongType()), (T.LongType(), d(5, 2), d(21, 2)),
+        (d(10, 4), d(8, 1), d(11, 4)), (T.FloatType(), T.DoubleType(), T.DoubleType()), (T.IntegerType(), T.DoubleType(), T.DoubleType()),
+        (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()), (T.NullType(), T.StringType(), T.StringType()),
+    ]:
+        assert wider(a, b, "c") == wider(b, a, "c") == both
+    for a, b in [(T.LongType(), T.DoubleType()), (d(38, 2), d(38, 10)), (T.StringType(), T.LongType()), (T.FloatType(), T.LongType())]:
+        with pytest.raises(TypeError):
+            wider(a, b, "c")
+
 
 
 def test_no_line_is_lost_when_splits_change(spark, tmp_path):

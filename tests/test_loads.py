@@ -16,8 +16,10 @@ from estrato.operators.incremental import (
 )
 from estrato.plans import access, weather
 from estrato.session import work_dir
+from estrato.sources.buckets import insert_bucketed
+from estrato.sources import tables
 from estrato.sources.tables import (
-    append_batch, append_new, read_appended, read_current, read_keyed, truncate, upsert, upsert_keyed,
+    MANIFEST, append_batch, read_appended, read_current, read_keyed, truncate, upsert, upsert_keyed,
     versions, write_version,
 )
 from estrato.streaming.micro_batch import insert_stream, new_files
@@ -34,9 +36,9 @@ def test_insert_new_twice_is_insert_new_once(spark, tmp_path):
     assert rows_of(new) == [("a", 1), ("b", 3)]
     assert rows_of(insert_new(target.unionByName(new), source, ["k"], [F.col("n").asc()])) == []
     path = str(tmp_path / "t")
-    assert append_new(source, path, ["k"], [F.col("n").asc()], "1") == 3
-    assert append_new(source, path, ["k"], [F.col("n").asc()], "2") == 0
-    assert append_new(source, path, ["k"], [F.col("n").asc()], "1") == 3  # the same batch again
+    assert insert_bucketed(source, path, ["k"], [F.col("n").asc()], "1") == 3
+    assert insert_bucketed(source, path, ["k"], [F.col("n").asc()], "2") == 0
+    assert insert_bucketed(source, path, ["k"], [F.col("n").asc()], "1") == 3  # the same batch again
     assert rows_of(read_appended(spark, path, source.schema)) == [("a", 1), ("b", 3), ("c", 4)]
 
 
@@ -212,16 +214,46 @@ def test_scratch_folder(spark):
     assert work_dir(_Cluster, "x").startswith("hdfs://n/ck/estrato/x-")
 
 
+def _current(spark, path):
+    """The folder that counts for each day."""
+    return {r.value: r.folder for r in read_current(spark, f"{path}/_manifest", MANIFEST).collect()}
+
+
+def test_a_failed_upsert_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "keyed")
+    rows = spark.createDataFrame([("a", 1, date(2025, 1, 1)), ("a", 2, date(2025, 1, 2))], "k string, v int, day date")
+    upsert_keyed(rows, path, ["k", "day"], "day")
+    new = rows.withColumn("v", F.col("v") + 10)
+
+    def stopped(*_, **__):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as m:  # the new folders are written, the manifest isn't
+        m.setattr(tables, "write_version", stopped)
+        with pytest.raises(RuntimeError):
+            upsert_keyed(new, path, ["k", "day"], "day")
+    assert len(list((tmp_path / "keyed").glob("write=*"))) == 2
+    # and a write that ends between two folders leaves files that nobody reads
+    rows.where("v = 1").drop("day").write.parquet(f"{path}/write=half/day=2025-01-01")
+    assert sorted(r.v for r in read_keyed(spark, path, rows.schema, "day").collect()) == [1, 2]
+    reader = read_keyed(spark, path, rows.schema, "day")
+    assert upsert_keyed(new, path, ["k", "day"], "day") == 2
+    assert sorted(r.v for r in reader.collect()) == [1, 2]  # a reader that has begun keeps its state
+    assert sorted(r.v for r in read_keyed(spark, path, rows.schema, "day").collect()) == [11, 12]
+
+
 def test_an_upsert_reads_and_writes_only_its_days(spark, tmp_path):
     path = str(tmp_path / "keyed")
     schema = "k string, v int, day date"
     first = spark.createDataFrame([("a", 1, date(2025, 1, d)) for d in range(1, 9)] + [(None, 2, date(2025, 1, 3))], schema)
     assert upsert_keyed(first, path, ["k", "day"], "day") == 9
-    before = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "keyed").glob("day=*")}
+    before = _current(spark, path)
     new = spark.createDataFrame([("a", 5, date(2025, 1, 3)), ("b", 6, date(2025, 1, 5)), (None, 7, date(2025, 1, 3))], schema)
     assert upsert_keyed(new, path, ["k", "day"], "day") == 4
-    after = {p.name: sorted(x.name for x in p.iterdir()) for p in (tmp_path / "keyed").glob("day=*")}
-    assert {d for d in before if before[d] != after[d]} == {"day=2025-01-03", "day=2025-01-05"}
+    after = _current(spark, path)
+    assert {d for d in before if before[d] != after[d]} == {"day=2025-01-03", "day=2025-01-05"} and len(after) == 8
+    written = {p.name for p in (tmp_path / "keyed").glob("write=*/day=*") if after[p.name].startswith(p.parent.name)}
+    assert written == set(after)
     rows = {(r.k, r.day.day): r.v for r in read_keyed(spark, path, new.schema, "day").collect()}
     assert rows == {("a", d): 1 for d in range(1, 9)} | {("a", 3): 5, (None, 3): 7, ("b", 5): 6}
     assert upsert_keyed(new.limit(0), path, ["k", "day"], "day") == 0
