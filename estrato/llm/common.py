@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from estrato.session import written
 
 #: Most that a checked side of a join may take in each executor.
 BROADCAST_BYTES = 8 << 20
+#: Rows with whole texts in an Arrow batch.
+TEXTS = 2_000
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Words are runs of anything but space and the five ASCII control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -71,3 +76,26 @@ def checked_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     """A hint to broadcast ``df``, a written table, if its counted rows stay below
     ``BROADCAST_BYTES``; beyond it joins shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Send at most ``TEXTS`` rows to Python at a time in this session, which stays so: whole texts
+    are long, and a batch takes its size several times on both sides."""
+    if int(spark.conf.get(ARROW_ROWS)) > TEXTS:
+        spark.conf.set(ARROW_ROWS, str(TEXTS))
+
+
+def tidied(batches: Iterator) -> Iterator:
+    """Arrow batches of a task; what a batch has needed goes back to the system before the next
+    one, so that a worker that waits holds little."""
+    import ctypes
+
+    import pyarrow as pa
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        if trim is not None:
+            trim(0)

@@ -5,8 +5,8 @@ Terms are words and the first letters of words; those whose presence tells the l
 term that leans to the toxic ones.  Weights are (1 + ln tf) * idf, vectors have
 length one.  The examples with the highest cosine are found exactly by a block-max inverted
 index: the ids of the examples are cut into blocks, each term keeps its highest weight in a
-block, and blocks are looked into from the highest bound down until no bound reaches the
-k-th best.  Votes weigh by nearness, a text without any term gets the rate of such texts,
+block, the blocks with the highest bounds are looked into first, and then all others whose bound
+reaches the k-th best so far.  Votes weigh by nearness, a text without any term gets the rate of such texts,
 and a logistic fit over left-one-out votes calibrates the score.
 """
 
@@ -17,12 +17,11 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import WORD, labelled_texts, whole_text
+from estrato.llm.common import WORD, checked_broadcast, labelled_texts, text_batches, tidied, whole_text
 from estrato.session import written
 
-#: Labelled rows in the index at most, and terms that their vectors know at most.
+#: Labelled rows in the index at most; the terms are bounded by what these rows hold.
 EXAMPLES = 12_000
-TERMS = 2_000
 #: Likelihood ratio from which a term tells the labels apart, for many thousands of terms.
 LEAST_G = 20.0
 PREFIX = 4
@@ -32,6 +31,10 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: Weight of the rate of texts without terms among the votes.
 PRIOR = 0.25
+#: Blocks looked into one after the other before all others that may hold a neighbour.
+FIRST = 8
+#: Terms that a task counts before it sends them on, and scores that it remembers.
+HELD, KNOWN = 100_000, 4_096
 FOLDS, HELD_OUT = 5, 0
 FLAG = 0.5
 
@@ -60,7 +63,7 @@ def distinct_examples(rows: DataFrame) -> DataFrame:
     ).select("one.doc_id", "one.text", "y")
 
 
-def telling_terms(rows: DataFrame, most: int = TERMS) -> list[tuple[str, int, bool]]:
+def telling_terms(rows: DataFrame) -> list[tuple[str, int, bool]]:
     """(term, rows that have it, whether it leans to label 1) of the terms that tell labels
     apart, by falling G."""
 
@@ -81,7 +84,7 @@ def telling_terms(rows: DataFrame, most: int = TERMS) -> list[tuple[str, int, bo
         for batch in batches:
             for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist(), strict=True):
                 tally[y].update(terms_of(text))
-                if len(tally[0]) + len(tally[1]) > 500_000:
+                if len(tally[0]) + len(tally[1]) > HELD:
                     yield out()
         yield out()
 
@@ -96,8 +99,9 @@ def telling_terms(rows: DataFrame, most: int = TERMS) -> list[tuple[str, int, bo
         return F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (df * p))).otherwise(0.0)
 
     counts = counts.withColumn("g", 2 * (part("n0", 1 - p1) + part("n1", p1)))
-    top = counts.where(F.col("g") >= LEAST_G).orderBy(F.desc("g"), "term").limit(most)
-    found = {r.term: r for r in top.collect()}
+    # bounded by the examples, which are: a few of the terms they hold tell the labels apart
+    top = sorted(counts.where(F.col("g") >= LEAST_G).collect(), key=lambda r: (-r.g, r.term))
+    found = {r.term: r for r in top}
     # a word says no more than its beginning if that tells the labels apart as well
     stems = {t: r.g for t, r in found.items() if t.endswith("*")}
     rows = [r for t, r in found.items() if stems.get(t[:PREFIX] + "*", -1.0) < r.g or t in stems]
@@ -126,24 +130,26 @@ class BlockMaxIndex:
             weight = np.array([w for _, w in rows])
             most = np.zeros(self.blocks)
             np.maximum.at(most, at // BLOCK, weight)
-            starts = np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
-            self.postings[term] = (at, weight, most, starts)
+            self.postings[term] = (at, weight, most)
 
     def counts(self, text: str) -> dict[str, int]:
         """How often the known terms occur in the whole text, and the steps it reaches."""
+        from collections import Counter
+
         out: dict[str, int] = {}
         idf, short, hits = self.idf, self.short, 0
-        words = words_of(text)
-        for w in words:
+        words = Counter(words_of(text))
+        for w, n in words.items():
             start = w[:PREFIX]
             if start not in short and w not in idf:
                 continue
             found = [t for t in (w, start + "*" if len(w) > PREFIX else "") if t in idf]
             for t in found:
-                out[t] = out.get(t, 0) + 1
-            hits += any(t in self.toxic for t in found)
+                out[t] = out.get(t, 0) + n
+            if any(t in self.toxic for t in found):
+                hits += n
         for rate in RATES:
-            if hits >= rate * len(words) and hits:
+            if hits >= rate * words.total() and hits:
                 out[f"~{rate}"] = 1
         return out
 
@@ -162,17 +168,30 @@ class BlockMaxIndex:
         if not found:
             return []
         bound = sum(w * p[2] for p, w in found)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) >= k and bound[b] < -best[k - 1][0] - 1e-9):
-                break
-            cosine = np.zeros(BLOCK)
-            for (at, weight, _, starts), w in found:
-                here = slice(starts[b], starts[b + 1])
-                cosine[at[here] - b * BLOCK] += w * weight[here]
-            hits = [(-round(float(cosine[i]), 12), int(b) * BLOCK + int(i)) for i in np.flatnonzero(cosine)]
-            best = sorted(best + [h for h in hits if h[1] != without])[:k]
-        return [(n, -c) for c, n in best]
+        at = np.concatenate([p[0] for p, _ in found])
+        weight = np.concatenate([w * p[1] for p, w in found])
+        first = bound >= np.partition(bound, -FIRST)[-FIRST] if len(bound) > FIRST else np.full(len(bound), True)
+        best = self._best(at, weight, first & (bound > 0), k, without)
+        reach = best[1][-1] - 1e-9 if len(best[0]) >= k else 0.0
+        rest = (bound > 0) & (bound >= reach) & ~first
+        if rest.any():
+            more = self._best(at, weight, rest, k, without)
+            n, cosine = (np.concatenate(x) for x in zip(best, more, strict=True))
+            order = np.lexsort((n, -cosine))[:k]
+            best = n[order], cosine[order]
+        return list(zip(best[0].tolist(), best[1].tolist(), strict=True))
+
+    def _best(self, at, weight, blocks, k: int, without: int | None):
+        """Positions and cosines of the ``k`` best in some blocks, equals by position."""
+        import numpy as np
+
+        here = blocks[at // BLOCK]
+        cosine = np.round(np.bincount(at[here], weight[here], minlength=len(self.ids)), 12)
+        if without is not None:
+            cosine[without] = 0.0
+        n = np.flatnonzero(cosine)
+        n = n[np.argsort(-cosine[n], kind="stable")[:k]]
+        return n, cosine[n]
 
     def vote(self, near, rate: float) -> float:
         """The share of toxic among the neighbours by squared cosine, drawn to ``rate``."""
@@ -234,7 +253,7 @@ class Model:
             z = self.slope * float(_logit(self.index.vote(near, self.rate))) + self.shift
             ids, label = self.index.ids, self.index.label
             got = (1 / (1 + math.exp(-z)), [(ids[n], int(label[n]), c) for n, c in near[:3]], sorted(tf))
-            if len(self.known) < 50_000 and len(key) < 64:
+            if len(self.known) < KNOWN and len(key) < 64:
                 self.known[key] = got
         return got
 
@@ -242,7 +261,7 @@ class Model:
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = EXAMPLES) -> Model:
     """The model of about ``most`` labelled rows at most, none of the held-out fold.
 
-    Only the counts of telling terms come to the driver, at most ``TERMS`` for an example.
+    Only the counts of telling terms come to the driver, for each example.
     """
     import math
 
@@ -284,6 +303,7 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
     """
     from pyspark.sql import types as T
 
+    text_batches(docs.sparkSession)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep if c != "text"], whole_text().alias("_text"))
     more = T.StructType.fromDDL(SCORED)
     fields = [f for f in rows.schema.fields if f.name != "_text"]
@@ -294,7 +314,7 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
         import pyarrow as pa
 
         near = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
-        for batch in batches:
+        for batch in tidied(batches):
             names = [c for c in batch.schema.names if c != "_text" or held]
             texts = batch.column("_text")
             got = [model.score(texts[i].as_py()) for i in range(len(texts))]
@@ -312,7 +332,14 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
 
 
 def clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic, with all their columns."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    scored = toxicity_scores(docs.select(whole, "text"), model, ("_row",))
-    return scored.where("predicted = 0").select("_row.*")
+    """The rows of ``docs`` that aren't predicted toxic, with all their columns.
+
+    Only ids and texts go to Python.  A row goes with all rows of the same doc_id and text, a
+    null id being an id and a null text an empty one; columns may have any names; texts are read
+    whole; an empty table stays empty.
+    """
+    keyed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64(whole_text()).alias("_hash"), "text")
+    bad = toxicity_scores(keyed, model, ("_id", "_hash")).where("predicted = 1").select("_id", "_hash").distinct()
+    bad = checked_broadcast(written(bad, "toxic"), 24)
+    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")

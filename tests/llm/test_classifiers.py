@@ -121,3 +121,28 @@ def test_labels_outside_the_fold_only(spark):
     assert not held & set(got) and 1 not in got and None not in got and 60 not in got and 61 not in got
     many = spark.range(20_000).withColumnRenamed("id", "doc_id")
     assert 700 < bounded_sample(many, "doc_id", 1000).count() < 1300
+
+
+def test_the_fit_is_the_least_loss_over_pairs():
+    """Against plain descent on the same pairs, one by one."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(40, 5))
+    y = (x[:, 0] + rng.normal(size=40) > 0).astype(int)
+    model = quality.fit(x, y, pairs=300)
+    good, bad = x[y == 1].tolist(), x[y == 0].tolist()
+    draw = np.random.default_rng(0)
+    i, j = draw.integers(0, len(good), 300), draw.integers(0, len(bad), 300)
+    scale = [float(np.std(x[:, k])) + 1e-6 for k in range(5)]
+    pairs = [[(good[a][k] - bad[b][k]) / scale[k] for k in range(5)] for a, b in zip(i, j, strict=True)]
+    w = [0.0] * 5
+    for _ in range(4000):
+        g = [quality.RIDGE * v for v in w]
+        for d in pairs:
+            miss = 1 / (1 + math.exp(sum(a * b for a, b in zip(w, d, strict=True))))
+            for k in range(5):
+                g[k] -= miss * d[k] / len(pairs)
+        w = [a - 2.0 * b for a, b in zip(w, g, strict=True)]
+    assert np.allclose(model["weight"] * scale, w, atol=1e-3)
+    z = sorted(sum(w[k] / scale[k] * (r[k] - float(np.mean(x[:, k]))) for k in range(5)) for r in x.tolist())
+    at = int((y == 0).sum())
+    assert math.isclose(model["threshold"], (z[at - 1] + z[at]) / 2, abs_tol=1e-2)
