@@ -44,6 +44,26 @@ def day_first_date(c: Column) -> Column:
     return day_first_timestamp(c).cast("date")
 
 
+def _by_day(c: Column) -> Column:
+    s = _full_year(strip(c))
+    return F.when(s.rlike(_DAY_FIRST), day_first_timestamp(c)).cast("date")
+
+
+def _by_month(c: Column) -> Column:
+    s = F.regexp_replace(_full_year(strip(c)), _DAY_FIRST, "$3-$1-$2")
+    return F.when(strip(c).rlike(r"^\d{1,2}[/.-]") & s.rlike(_WALL_CLOCK), s.try_cast("timestamp_ntz")).cast("date")
+
+
+def _by_year(c: Column) -> Column:
+    s = strip(c)
+    return F.when(s.rlike(_WALL_CLOCK), s.try_cast("timestamp_ntz")).cast("date")
+
+
+#: Formats that a column of dates may have, in the order in which equals are preferred: what
+#: each reads, NULL for a text that it doesn't.
+DATE_FORMATS = {"day first": _by_day, "month first": _by_month, "year first": _by_year}
+
+
 def time_of(ts: Column) -> Column:
     """Time of day of a wall-clock timestamp, as text."""
     return F.substring(ts.cast("string"), 12, 8)

@@ -9,7 +9,7 @@ from estrato.operators.reports import period_of
 from estrato.plans import sales
 from estrato.plans.registered.common import RUN_MICROS, RUN_TS, pick, pick_sql, plain, table
 from estrato.session import spread, work_dir
-from estrato.sources.files import header_csv, lines_of_text, text_lines
+from estrato.sources.files import CONTROLS, WINDOWS_1252, header_csv, lines_of_text, text_lines
 from estrato.sources.paths import matching
 
 
@@ -71,6 +71,31 @@ def raw_bronze(spark, sf):
 RAW_BRONZE = f"""
 select raw_line, 'web' as origem_dado, {RUN_MICROS} as dt_carga, 1 as numbered from ({_DOC_LINES})"""
 
+_SIGNS = {"utf8": "ñ ✓ “q” 日本", "latin": "ñ ç ü", "windows": "ñ “q” – 5 €", "utf16": "ñ ✓ “q” 日本"}
+
+
+def encodings(spark, sf):
+    """Lines of events in four encodings, told apart by their bytes."""
+    kind = pick(F.col("event_id"), *[F.lit(k) for k in _SIGNS])
+    signs = F.create_map(*[F.lit(x) for pair in _SIGNS.items() for x in pair])[kind]
+    rows = table(spark, sf, "events").select(kind.alias("kind"), F.concat_ws(";", "event_id", "event_type", signs).alias("line"))
+    path = work_dir(spark, "encodings")
+    plain_text = dict(sep=chr(2), quote=chr(1), emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    for name, encoding in (("utf8", "UTF-8"), ("latin", "ISO-8859-1"), ("windows", "ISO-8859-1"), ("utf16", "UTF-16")):
+        # the signs of Windows-1252 are the control characters of Latin-1
+        line = F.translate("line", WINDOWS_1252, CONTROLS) if name == "windows" else F.col("line")
+        some = rows.where(F.col("kind") == name).select(line.alias("line")).coalesce(1)
+        some.write.options(encoding=encoding, **plain_text).csv(f"{path}/{name}")
+    read = text_lines(spark, f"{path}/*")
+    folder = F.regexp_extract("_path", "/([a-z0-9]+)/[^/]*$", 1)
+    return read.select(folder.alias("folder"), "raw_line", (F.col("line_no") >= 1).cast("int").alias("numbered"))
+
+
+ENCODINGS = f"""
+select {pick_sql('event_id', *[f"'{k}'" for k in _SIGNS])} as folder,
+  concat_ws(';', event_id, event_type, {pick_sql('event_id', *[f"'{v}'" for v in _SIGNS.values()])}) as raw_line, cast(1 as int) as numbered
+from events"""
+
 _WANTED = ["event_id", "event_type", "props", "user_id", "note"]
 
 
@@ -128,6 +153,7 @@ QUERIES = {
     "q_raw_lines": (raw_lines_of_text, RAW_LINES),
     "q_raw_files": (raw_files, RAW_FILES),
     "q_raw_bronze": (raw_bronze, RAW_BRONZE),
+    "q_encodings": (encodings, ENCODINGS),
     "q_csv_history": (csv_history, CSV_HISTORY),
     "q_regexp_period": (dataset_names, DATASET_NAMES),
 }

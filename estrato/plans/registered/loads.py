@@ -18,6 +18,7 @@ from estrato.plans.access import between_days
 from estrato.plans.weather import with_ingestion
 from estrato.session import work_dir
 from estrato.sources.buckets import insert_bucketed
+from estrato.sources.compaction import compact, remove_replaced
 from estrato.sources.tables import (
     append_batch, datasets_with_suffix, read_appended, read_current,
     truncate, upsert, write_reports, write_version,
@@ -96,6 +97,23 @@ select o_orderkey, case when o_orderkey % 3 <> 0 then o_orderstatus end as o_ord
   case o_orderkey % 3 when 0 then strftime(o_orderdate, '%Y-%m-%d 00:00:00') when 1 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') end as day
 from orders"""
 
+def compacted(spark, sf):
+    """A table of many small loads packed into few files; one load comes again after that."""
+    rows = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    path, part = work_dir(spark, "compact"), F.col("event_id") % 9
+    for n in range(9):
+        append_batch(rows.where(part == n), path, str(n))
+    files = compact(spark, path, rows.schema.fields)
+    append_batch(rows.where(part == 4).withColumn("event_type", F.lit("again")), path, "4")
+    remove_replaced(spark, path)
+    return read_appended(spark, path, rows.schema).withColumn("files", F.lit(files))
+
+
+COMPACTED = """
+select event_id, user_id, case when event_id % 9 = 4 then 'again' else event_type end as event_type,
+  cast(1 as int) as files from events"""
+
+
 def inserted(spark, sf):
     """The rows that each of three inserts reports as new."""
     rows = table(spark, sf, "orders").select(*_KEYS, "o_orderkey", "o_orderstatus")
@@ -257,6 +275,7 @@ where event_id % 10 <> 0 or ts >= timestamp '{_TURN}' or epoch_us(ts) > watermar
 
 QUERIES = {
     "q_first_events": (first_events, FIRST_EVENTS),
+    "q_compacted": (compacted, COMPACTED),
     "q_truncate": (truncated, TRUNCATED),
     "q_run_windows": (run_windows, RUN_WINDOWS),
     "q_evolving": (evolved, EVOLVED),

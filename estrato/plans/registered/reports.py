@@ -350,6 +350,56 @@ select cast(o_orderkey as varchar) as id_venda, {_DAY} as data,
   {money_sql(cents_sql('o_totalprice'))} as vlr_total, {_dataset_sql('418')} as fonte_tabela_bronze
 from orders where strftime(o_orderdate, '%Y%m') > (select min(strftime(o_orderdate, '%Y%m')) from orders)"""
 
+def _by_format(spark, sf):
+    """Datasets whose dates are day first in odd years and month first in even ones, with some
+    that are year first and some that are no date."""
+    o = _orders(spark, sf)
+    even = F.year("o_orderdate") % 2 == 0
+    told = F.when(even, F.date_format("o_orderdate", "MM/dd/yyyy")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    told = F.when(F.col("o_orderkey") % 10 == 0, "n/d").when(
+        F.col("o_orderkey") % 10 == 1, F.date_format("o_orderdate", "yyyy-MM-dd")
+    ).otherwise(told)
+    iso = F.date_format("o_orderdate", "yyyy-MM-dd")
+    record = F.concat_ws(
+        ";", F.col("o_orderkey").cast("string"), told, iso, F.lit("1"), F.lit("1,00"), *[F.lit(x) for x in "xpetcm"],
+    )
+    records = o.select(_dataset("418").alias(FILE), F.col("o_orderkey").alias("at"), record.alias("record"))
+    header = "Conta;Data;Data Visita;Qtd;Valor;Produtos-Carrinho;Pessoa;Email;Telefone;Cidade;Motivo"
+    lines = _framed(records, F.lit(header), ['"Total";"9"'])
+    return sales.silver_report_by_format(lines, sales.CARTS_418, RUN_TS)
+
+
+def date_formats(spark, sf):
+    rows, _, _ = _by_format(spark, sf)
+    return plain(rows.select("id_venda", "data", "dt_utilizacao", "fonte_tabela_bronze"))
+
+
+def date_format_report(spark, sf):
+    _, _, formats = _by_format(spark, sf)
+    return formats.select(F.col(FILE).alias("dataset"), "column", "format", "filled", "unread")
+
+
+_CELLS = f"""
+cells as (select {_dataset_sql('418')} as dataset, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as iso,
+    case o_orderkey % 10 when 0 then 'n/d' when 1 then strftime(o_orderdate, '%Y-%m-%d')
+      else case when year(o_orderdate) % 2 = 0 then strftime(o_orderdate, '%m/%d/%Y') else strftime(o_orderdate, '%d/%m/%Y') end end as told
+  from orders),
+counts as (select dataset, count(*) as filled, count(try_strptime(told, '%d/%m/%Y')) as d,
+    count(try_strptime(told, '%m/%d/%Y')) as m, count(try_strptime(told, '%Y-%m-%d')) as y from cells group by dataset),
+chosen as (select dataset, filled, greatest(d, m, y) as best,
+    case when greatest(d, m, y) = 0 then null when d >= m and d >= y then 'day first' when m >= y then 'month first' else 'year first' end as format
+  from counts)"""
+DATE_FORMATS = f"""
+with {_CELLS}
+select cast(o_orderkey as varchar) as id_venda, strftime(case format when 'day first' then try_strptime(told, '%d/%m/%Y')
+    when 'month first' then try_strptime(told, '%m/%d/%Y') else try_strptime(told, '%Y-%m-%d') end, '%Y-%m-%d') as data,
+  iso as dt_utilizacao, dataset as fonte_tabela_bronze
+from cells join chosen using (dataset)"""
+DATE_FORMAT_REPORT = f"""
+with {_CELLS}
+select dataset, 'data' as "column", format, filled, filled - best as unread from chosen
+union all select dataset, 'dt_utilizacao', 'year first', filled, cast(0 as bigint) from chosen"""
+
 SALES_LAYERS = f"""
 select cast(o_orderkey as varchar) as id_venda, {_DAY} as data, cast(1 as bigint) as qtd,
   {money_sql(cents_sql('o_totalprice'))} as vlr_total, o_orderpriority as produto,
@@ -528,6 +578,8 @@ QUERIES = {
     "q_report_418": (report_418, REPORT_418),
     "q_report_664": (report_664, REPORT_664),
     "q_sales_rerun": (sales_rerun, SALES_RERUN),
+    "q_date_formats": (date_formats, DATE_FORMATS),
+    "q_date_format_report": (date_format_report, DATE_FORMAT_REPORT),
     "q_sales_layers": (sales_layers, SALES_LAYERS),
     "q_dimensions": (dimensions, DIMENSIONS),
     "q_report_rejects": (rejects, REJECTS),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from estrato import schemas
 from estrato.functions import dates, numbers, text
 from estrato.operators import reports
+from estrato.operators.formats import chosen_formats, format_counts, with_formats
 from estrato.operators.ordered import forward_fill
 from estrato.operators.shape import align_to_schema, drop_empty_or_zero
 from estrato.session import written
@@ -228,18 +229,38 @@ def _business(report: Report) -> list[str]:
     return [n for n in report.schema.names if n not in METADATA]
 
 
+def _date_columns(parsed: Parsed, report: Report) -> list[str]:
+    return [n for n, f in report.casts.items() if f is dates.day_first_date and n in parsed.columns]
+
+
+def report_fields(parsed: Parsed, file: str = TABLE) -> DataFrame:
+    """The fields of all records as text, without empty records."""
+    filled = reports.drop_empty_records(parsed.rows)
+    return reports.select_fields(filled, parsed.positions, file, parsed.columns)
+
+
+def date_formats(parsed: Parsed, report: Report, file: str = TABLE) -> DataFrame:
+    """The format of each date column of each dataset, and how many of its cells it leaves unread."""
+    counts = format_counts(report_fields(parsed, file), file, _date_columns(parsed, report))
+    return written(chosen_formats(counts, file), "date-formats")
+
+
 def typed_report(
     parsed: Parsed, report: Report, run_ts: datetime, test_email: str | None = None,
-    file: str = TABLE,
+    file: str = TABLE, formats: DataFrame | None = None,
 ) -> DataFrame:
-    """Typed silver rows.  ``test_email`` is the address whose sales count as tests."""
-    filled = reports.drop_empty_records(parsed.rows)
-    rows = reports.select_fields(filled, parsed.positions, file, parsed.columns)
+    """Typed silver rows.  ``test_email`` is the address whose sales count as tests; with
+    ``formats`` a date column is read by the one format of its dataset, else each cell by
+    itself, day first and then ISO."""
+    rows = report_fields(parsed, file)
+    by_format = _date_columns(parsed, report) if formats is not None else []
+    if by_format:
+        rows = with_formats(rows, file, by_format, formats)
     if report.fill:
         rows = forward_fill(rows, [file], reports.LINE, report.fill)
     if report.need:
         rows = drop_empty_or_zero(rows, report.need)
-    cast = {n: f(F.col(n)) for n, f in report.casts.items() if n in parsed.columns}
+    cast = {n: f(F.col(n)) for n, f in report.casts.items() if n in parsed.columns and n not in by_format}
     typed = rows.select(
         F.col(file).alias("fonte_tabela_bronze"),
         *[cast.get(n, F.col(n)).alias(n) for n in parsed.columns],
@@ -270,6 +291,16 @@ def silver_report(
     return typed_report(parsed, report, run_ts, test_email), parsed.rejects
 
 
+def silver_report_by_format(
+    bronze: DataFrame, report: Report, run_ts: datetime, test_email: str | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As ``silver_report``, with one date format for each date column of a dataset; the third
+    result tells the formats and how many cells they leave unread."""
+    parsed = parse_report(datasets_with_suffix(bronze, report.suffix), report)
+    formats = date_formats(parsed, report)
+    return typed_report(parsed, report, run_ts, test_email, formats=formats), parsed.rejects, formats
+
+
 def with_period(silver: DataFrame, report: Report) -> DataFrame:
     """Add ``ano_mes``, the period in the dataset name."""
     period = reports.period_of(F.col("fonte_tabela_bronze"), report.suffix)

@@ -17,6 +17,7 @@ from estrato.operators.aggregates import latest_per_key
 from estrato.operators.audit import counted
 from estrato.operators.incremental import not_in
 from estrato.session import written
+from estrato.sources.compaction import read_loads, written_again
 from estrato.sources.paths import any_match
 
 BUCKET = "key_bucket"
@@ -42,8 +43,8 @@ def read_keys(
     """
     if not any_match(spark, f"{path}/batch=*/_SUCCESS"):
         return spark.createDataFrame([], T.StructType([schema[k] for k in keys]))
-    more = [T.StructField("batch", T.StringType()), T.StructField(BUCKET, T.StringType())]
-    rows = spark.read.schema(T.StructType([schema[k] for k in keys] + more)).parquet(path)
+    fields = [*[schema[k] for k in keys], T.StructField(BUCKET, T.StringType())]
+    rows = read_loads(spark, path, fields, batches)
     if touched is not None:
         ours = F.lit(False)
         for number in {t.rsplit("-", 1)[1] for t in touched}:
@@ -51,8 +52,6 @@ def read_keys(
         rows = rows.where(F.col(BUCKET).isin(list(touched)) | ~F.coalesce(ours, F.lit(False)))
     if without_batch is not None:
         rows = rows.where(F.col("batch") != without_batch)
-    if batches is not None:
-        rows = rows.where(F.col("batch").isin(list(batches)))
     return rows.select(*keys)
 
 
@@ -86,4 +85,5 @@ def insert_bucketed(
     target = read_keys(spark, path, schema, keys, touched, batch, batches)
     new, seen = counted(missing_keys(first, target, keys).hint("rebalance", BUCKET))
     new.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/batch={batch}")
+    written_again(spark, path, batch)
     return seen.get["rows"]

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estrato.functions.text import BOM, dataset_name
@@ -21,6 +22,32 @@ def new_batch_id() -> str:
     return uuid.uuid4().hex
 
 
+# The characters that Windows-1252 has where Latin-1 has control characters, in the
+# order of their bytes, and the bytes that it leaves undefined.
+WINDOWS_1252 = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+UNDEFINED = (0x81, 0x8D, 0x8F, 0x90, 0x9D)
+CONTROLS = "".join(chr(b) for b in range(0x80, 0xA0) if b not in UNDEFINED)
+UTF_16, UTF_8, WINDOWS, LATIN = "UTF-16", "UTF-8", "Windows-1252", "ISO-8859-1"
+
+
+def _count_of(latin: Column, characters: str) -> Column:
+    return F.length(latin) - F.length(F.translate(latin, characters, ""))
+
+
+def _encoding(marked: Column, valid: Column, controls: Column, undefined: Column) -> Column:
+    """The encoding that the bytes of a file speak for.
+
+    A mark says UTF-16.  Lines that are all valid are UTF-8: other encodings of letters beyond
+    ASCII hardly ever are.  Of the rest, bytes of 80 to 9F are signs in Windows-1252 and control
+    characters in Latin-1, which texts don't hold: with some of them, none undefined, it is
+    Windows-1252.
+    """
+    return (
+        F.when(marked, UTF_16).when(valid, UTF_8)
+        .when((controls > 0) & (undefined == 0), WINDOWS).otherwise(LATIN)
+    )
+
+
 def text_lines(
     spark: SparkSession, path: str | Sequence[str], glob: str = "*.csv"
 ) -> DataFrame:
@@ -30,9 +57,10 @@ def text_lines(
     (``file_block_start``) and its place in it; the number of lines in the splits before
     gives the rest, from an aggregate with one row per split.  The files are read once:
     where splits begin depends on the cluster at that moment, so the lines are written with
-    their split and place, and the numbers come from that table.  A file whose lines are
-    all valid UTF-8 is UTF-8, any other is Latin-1, so no byte is lost.  The reader
-    removes a byte order mark at the start of a file.
+    their split and place, and the numbers come from that table.  The same aggregate counts
+    the bytes that tell the encodings apart (``_encoding``), and no byte is lost.  The reader
+    removes a byte order mark at the start of a file.  Files in UTF-16, which can't be cut at
+    line breaks of one byte, are read again, each as a whole.
     """
     read = spark.read.option("pathGlobFilter", glob).text(path if isinstance(path, str) else list(path)).select(
         "value",
@@ -42,27 +70,47 @@ def text_lines(
         F.monotonically_increasing_id().alias("_at"),
     )
     lines = written(read, "text-lines")
+    raw = F.col("value").cast("binary")
+    latin, valid = F.decode(raw, LATIN), F.expr("is_valid_utf8(value)")
     splits = lines.groupBy("_path", "_split").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min("_at").alias("_first"),
-        F.bool_and(F.expr("is_valid_utf8(value)")).alias("_valid"),
+        F.bool_and(valid).alias("_valid"),
+        F.sum(F.when(~valid, _count_of(latin, CONTROLS)).otherwise(0)).alias("_controls"),
+        F.sum(F.when(~valid, _count_of(latin, "".join(map(chr, UNDEFINED)))).otherwise(0)).alias("_undefined"),
+        F.min(F.when(F.col("_split") == 0, F.struct("_at", F.hex(F.substring(raw, 1, 2)).alias("mark")))).alias("_start"),
     )
     in_file = Window.partitionBy("_path")
     above = in_file.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    marked = F.coalesce(F.max(F.col("_start.mark")).over(in_file).isin("FFFE", "FEFF"), F.lit(False))
     offsets = splits.select(
         "_path",
         "_split",
         (F.coalesce(F.sum("_n").over(above), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-        F.min("_valid").over(in_file).alias("_utf8"),
+        _encoding(
+            marked, F.min("_valid").over(in_file), F.sum("_controls").over(in_file), F.sum("_undefined").over(in_file)
+        ).alias("_encoding"),
     )
     offsets = written(offsets, "splits")
-    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    return lines.join(offsets, ["_path", "_split"]).select(
-        (F.col("_at") + F.col("_shift")).alias("line_no"),
-        F.when(F.col("_utf8"), F.col("value")).otherwise(latin).alias("raw_line"),
-        FILE,
-        "_path",
+    encoding = F.col("_encoding")
+    decoded = F.when(encoding == UTF_8, F.col("value")).when(encoding == LATIN, latin).otherwise(
+        F.translate(latin, CONTROLS, WINDOWS_1252)
+    )
+    out = lines.join(offsets.where(encoding != UTF_16), ["_path", "_split"]).select(
+        (F.col("_at") + F.col("_shift")).alias("line_no"), decoded.alias("raw_line"), FILE, "_path",
+    )
+    wide = [r[0] for r in offsets.where(encoding == UTF_16).select("_path").distinct().toLocalIterator()]  # names of files
+    return out.unionByName(_utf_16_lines(spark, wide)) if wide else out
+
+
+def _utf_16_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines of files in UTF-16, whose mark tells the order of bytes; of 2 GB each at most."""
+    whole = spark.read.format("binaryFile").load([escaped(unquote(p)) for p in paths]).select(
+        F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias(FILE),
+        F.decode("content", UTF_16).alias("_text"),
     )
+    parts = lines_of_text(whole.withColumn("_file", F.struct("_path", FILE)), "_file", "_text")
+    return parts.select("line_no", "raw_line", f"_file.{FILE}", "_file._path")
 
 
 def lines_of_text(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estrato.session import written
+from estrato.sources.compaction import read_loads
 from estrato.sources.paths import matching
 from estrato.sources.tables import read_current, write_version
 
@@ -104,6 +105,4 @@ def read_folders(spark: SparkSession, path: str, schema: T.StructType, folders:
     """The rows of some folders of an appended table: a partition filter on ``batch``."""
     if not folders:
         return spark.createDataFrame([], schema)
-    read = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
-    rows = spark.read.schema(read).parquet(path)
-    return rows.where(F.col("batch").isin(list(folders))).select(*schema.names)
+    return read_loads(spark, path, schema.fields, folders).select(*schema.names)

@@ -48,10 +48,16 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of all files in a folder."""
+    fs, target = _at(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def removed(spark: SparkSession, path: str) -> None:
-    """Remove a file that was put there."""
+    """Remove a file, or a folder with all that is in it."""
     fs, target = _at(spark, path)
-    fs.delete(target, False)
+    fs.delete(target, True)
 
 
 def escaped(name: str) -> str:

@@ -19,7 +19,8 @@ from estrato.operators.audit import counted
 from estrato.operators.incremental import merge_upsert
 from estrato.operators.shape import align_to_schema
 from estrato.session import written
-from estrato.sources.paths import any_match, matching
+from estrato.sources.compaction import read_loads, written_again
+from estrato.sources.paths import any_match, matching, plain_name, removed
 from estrato.sources.schema_log import keep_schema, kept_schemas, same_types, widened
 
 
@@ -40,8 +41,7 @@ def read_appended(
     odd = {s: batches for s, batches in kept.items() if not same_types(s, schema)}
 
     def rows(of: T.StructType, only: Column) -> DataFrame:
-        read = T.StructType([*[f for f in of.fields if f.name != "batch"], T.StructField("batch", T.StringType())])
-        some = spark.read.schema(read).parquet(path).where(only)
+        some = read_loads(spark, path, of.fields).where(only)
         return align_to_schema(some if without_batch is None else some.where(F.col("batch") != without_batch), schema)
 
     others = [b for batches in odd.values() for b in batches]
@@ -59,6 +59,7 @@ def append_batch(df: DataFrame, path: str, batch: str) -> int:
     keep_schema(df, path, batch)
     rows, seen = counted(df)
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    written_again(df.sparkSession, path, batch)
     return seen.get["rows"]
 
 
@@ -150,15 +151,16 @@ def write_reports(
 def empty_datasets(
     read: DataFrame, rejected: DataFrame, path: str, schema: T.StructType, by: str
 ) -> None:
-    """Empty the datasets that were read and rejected, if the table has rows of them."""
+    """Empty the datasets that were read and rejected, if the table has rows of them: their
+    folders go, whose names come from one listing."""
     spark = read.sparkSession
     if not any_match(spark, f"{path}/{by}=*"):
         return
-    there = spark.read.schema(schema).parquet(path).select(by).distinct()
+    folder = plain_name(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", ""))
+    there = spark.read.schema(schema).parquet(path).select(by, folder.alias("_folder")).distinct()
     gone = rejected.toDF(by).join(read, by, "left_semi").distinct()
-    nothing = spark.createDataFrame([], T.StructType([f for f in schema.fields if f.name != by]))
-    for row in gone.join(there, by, "left_semi").toLocalIterator():  # a name for each dataset
-        nothing.write.mode("overwrite").parquet(f"{path}/{by}={row[0]}")
+    for row in there.join(gone, by, "left_semi").toLocalIterator():  # a name for each dataset
+        removed(spark, row["_folder"])
 
 
 def datasets_with_suffix(df: DataFrame, suffix: str) -> DataFrame:

@@ -182,3 +182,24 @@ def test_no_line_is_lost_when_splits_change(spark, tmp_path):
     finally:
         for key in keys:
             spark.conf.unset(key)
+
+
+def test_encodings_by_their_bytes(spark, tmp_path):
+    text = "Olá – “preço” 5 €\nlinha\r\n\nfim"
+    files = {
+        "utf8": text.encode(), "windows": text.encode("cp1252"), "le": b"\xff\xfe" + text.encode("utf-16-le"), "be": b"\xfe\xff" + text.encode("utf-16-be"),
+        "latin": "Olá ção\nfim".encode("latin-1"), "undefined": b"Ol\xe1 \x93x\x81\nfim", "ascii": b"a\nb", "empty": b"", "marked": b"\xef\xbb\xbf" + text.encode(),
+        "com esp%C3 ç+": text.encode("utf-16"),
+    }
+    for name, raw in files.items():
+        (tmp_path / f"{name}.csv").write_bytes(raw)
+    got = {}
+    for r in text_lines(spark, str(tmp_path)).orderBy("line_no").collect():
+        got.setdefault(r._source_file, []).append((r.line_no, r.raw_line))
+    whole = list(enumerate(["Olá – “preço” 5 €", "linha", "", "fim"], 1))
+    names = {k.replace("%20", " "): v for k, v in got.items()}
+    assert names["utf8.csv"] == names["windows.csv"] == names["le.csv"] == names["be.csv"] == names["marked.csv"] == whole
+    assert names["latin.csv"] == [(1, "Olá ção"), (2, "fim")]
+    assert names["undefined.csv"] == [(1, "Olá \x93x\x81"), (2, "fim")]
+    assert names["ascii.csv"] == [(1, "a"), (2, "b")] and "empty.csv" not in names
+    assert sum(v == whole for v in names.values()) == 6

@@ -13,7 +13,9 @@ from estrato import schemas
 from estrato.plans import access, weather
 from estrato.plans.registered.access import _GATES, tables_l, tables_q
 from estrato.sources.buckets import BUCKET, bucket_of, insert_bucketed, missing_keys, read_keys
+from estrato.sources.compaction import bins_of, compact, packed_loads, read_loads, remove_replaced
 from estrato.sources.ledger import Ledger, read_folders
+from estrato.sources.paths import folder_bytes
 from estrato.sources.tables import append_batch, read_appended
 from estrato.streaming.event_time import append_stream, first_events, late_rows
 from estrato.streaming.micro_batch import new_files
@@ -203,3 +205,55 @@ def test_late_and_repeated_events_over_a_restart(spark, tmp_path):
     assert have[2:] == [(4, "in time"), (5, "new"), (None, "no id")] and late[1] == 1
     have = arrive((5, at(9), "repeated"), (6, at(7), "late"), (7, at(20), "new"))
     assert [x for x, _ in have] == [1, 2, 4, 5, 7, None]
+
+
+# ---------------------------------------------------------------- compaction
+
+
+def test_small_loads_become_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(12):
+        append_batch(spark.range(n * 10, n * 10 + 10).repartition(3), path, f"b{n}")
+    append_batch(spark.range(1000, 60_000), path, "large")
+    schema = spark.range(1).schema
+    sizes = [folder_bytes(spark, f"{path}/batch=b{n}") for n in range(12)]
+    target = 3 * max(sizes) + 1
+    before = read_appended(spark, path, schema)
+    rows = sorted(r.id for r in before.collect())
+    files = compact(spark, path, schema.fields, target)
+    assert 4 <= files <= 6 and packed_loads(spark, path) == sorted(f"b{n}" for n in range(12))
+    after = read_appended(spark, path, schema)
+    assert sorted(r.id for r in before.collect()) == sorted(r.id for r in after.collect()) == rows  # a reader from before goes on
+    assert len([p for p in read_loads(spark, path, schema.fields).inputFiles() if "_compacted" in p]) == files
+    assert sorted(r.id for r in read_folders(spark, path, schema, ["b3", "large"]).collect())[:11] == [*range(30, 40), 1000]
+    assert compact(spark, path, schema.fields, target) == 0
+    append_batch(spark.range(500, 503), path, "b3")  # a load comes again
+    remove_replaced(spark, path)
+    assert not list((tmp_path / "t" / "batch=b2").glob("*.parquet")) and list((tmp_path / "t" / "batch=b3").glob("*.parquet"))
+    want = sorted({*rows} - {*range(30, 40)} | {500, 501, 502})
+    assert sorted(r.id for r in read_appended(spark, path, schema).collect()) == want
+    append_batch(spark.range(700, 702), path, "b12")
+    assert compact(spark, path, schema.fields, target) == 1  # b3 and b12
+    assert sorted(r.id for r in read_appended(spark, path, schema).collect()) == sorted([*want, 700, 701])
+
+
+def test_an_insert_meets_packed_loads(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(600).select(F.col("id").alias("k"))
+    for n in range(3):
+        insert_bucketed(rows.where(F.col("k") % 3 == n), path, ["k"], [F.col("k").asc()], str(n))
+    fields = [*rows.schema.fields, *spark.range(1).select(F.lit("x").alias(BUCKET)).schema.fields]
+    assert compact(spark, path, fields) == 1
+    remove_replaced(spark, path)
+    assert insert_bucketed(spark.range(590, 610).select(F.col("id").alias("k")), path, ["k"], [F.col("k").asc()], "3") == 10
+    assert sorted(r.k for r in read_appended(spark, path, rows.schema).collect()) == list(range(610))
+
+
+def test_bins_hold_no_more_than_their_size():
+    sizes = {f"x{i}": (i * 37) % 50 + 1 for i in range(80)}
+    bins = bins_of(sizes, 60)
+    held = {}
+    for name, b in bins.items():
+        held[b] = held.get(b, 0) + sizes[name]
+    assert set(bins) == set(sizes) and max(held.values()) <= 60
+    assert len(held) <= -(-sum(sizes.values()) // 60) * 1.3 and bins_of({}, 60) == {}
