@@ -36,7 +36,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="estrato-")
         context.setCheckpointDir(base)

@@ -208,8 +208,10 @@ class _Cluster:
 
 def test_scratch_folder(spark):
     assert "/estrato/x-" in work_dir(spark, "x")
-    with pytest.raises(ValueError):
-        work_dir(_Cluster, "x")
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        _Cluster.sparkContext.master = master
+        with pytest.raises(ValueError):
+            work_dir(_Cluster, "x")
     _Cluster.sparkContext.getCheckpointDir = staticmethod(lambda: "hdfs://n/ck")
     assert work_dir(_Cluster, "x").startswith("hdfs://n/ck/estrato/x-")
 
