@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import whole_text
+from estrato.llm.common import text_batches, tidied, whole_text
 from estrato.llm.pieces import id_table, model_path
 
 SEQ_LEN = 2048
@@ -79,13 +79,14 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 def token_pieces(docs: DataFrame, path: str, seq_len: int) -> DataFrame:
     """(doc_id, part, ids): the ids of each text in pieces of at most ``seq_len``."""
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         table, step = id_table(path), 2 * seq_len
-        for batch in batches:
+        for batch in tidied(batches):
             doc, part, ids, held = [], [], [], 0
             texts = batch.column("text")
             for n, d in enumerate(batch.column("doc_id").to_pylist()):
@@ -95,7 +96,7 @@ def token_pieces(docs: DataFrame, path: str, seq_len: int) -> DataFrame:
                     part.append(k)
                     ids.append(got[start : start + step])
                 held += len(got)
-                if held > 8 << 20:
+                if held > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(part, pa.int32()), pa.array(ids, pa.binary())], ["doc_id", "part", "ids"])
                     doc, part, ids, held = [], [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(part, pa.int32()), pa.array(ids, pa.binary())], ["doc_id", "part", "ids"])
@@ -152,14 +153,14 @@ def pack(
                     "cu_seqlens": ends, "position_resets": ends if n < seq_len else ends[:-1],
                     "input_ids": ids.ljust(2 * seq_len, PAD.to_bytes(1, "little")),
                 })
-            for at in range(0, len(out), 1024):
-                yield pa.RecordBatch.from_pylist(out[at : at + 1024], schema=schema)
+            for at in range(0, len(out), 256):
+                yield pa.RecordBatch.from_pylist(out[at : at + 256], schema=schema)
 
         from pyspark import TaskContext
 
         task, blocks = TaskContext.get().partitionId(), 0
         block, held = [], 0
-        for batch in batches:
+        for batch in tidied(batches):
             for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "ids")), strict=True):
                 block.append(x)
                 held += len(x[2]) // 2

@@ -142,8 +142,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
 def quality_scores(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score, predicted) of each row.
 
-    Empty and null texts are scored like any other, by features of their own; repeated rows
-    get equal scores; an empty table gives an empty one.
+    Empty and null texts are scored like any other, by features of their own; texts of any
+    length are read whole; repeated rows get equal scores; an empty table gives an empty one.
     """
 
     def value(x):

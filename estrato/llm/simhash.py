@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import WORD, checked_broadcast, whole_text
+from estrato.llm.common import WORD, checked_broadcast, text_batches, tidied, whole_text
 from estrato.llm.components import components
 from estrato.session import written
 
@@ -31,6 +31,9 @@ SEED = 42
 #: Groups up to this size give back every link, larger ones a spanning forest.
 SHIFTED = 16
 BLOCK = 256
+#: Rows of a variant that one task compares; larger groups are dealt out in blocks of this size,
+#: each pair of blocks to a group of its own.
+SPLIT = 8192
 #: Seeds of the fingerprints by which near copies meet; the last one makes a name of the set.
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xA0761D6478BD642F)
 FINGERPRINTS = ["f0", "f1", "f2"]
@@ -74,14 +77,15 @@ def fingerprint_of(text: bytes, size: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, keep: list[str], size: int = SHINGLE) -> DataFrame:
     """``keep`` and ``fp``, the signed fingerprint of the text; nothing is shuffled."""
+    text_batches(docs.sparkSession)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], whole_text().cast("binary").alias("_text"))
     out = rows.drop("_text").withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            fp = pa.array([fingerprint_of(t, size) for t in batch.column("_text").to_pylist()], pa.int64())
+        for batch in tidied(batches):
+            fp = pa.array([fingerprint_of(t.as_py(), size) for t in batch.column("_text")], pa.int64())
             names = [c for c in batch.schema.names if c != "_text"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, names), fp], [*names, "fp"])
 
@@ -143,32 +147,81 @@ def group_links(key, fp, most: int = MOST_BITS):
     return fp[np.concatenate(a)], fp[np.concatenate(b)]
 
 
-def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints; their components are those of all pairs
-    within ``most`` bits."""
+def in_groups(batches: Iterator, most: int) -> Iterator:
+    """(columns, whole) of rows sorted by their first column, the key: chunks of whole groups of
+    at most ``most`` rows, and chunks of larger groups, whose rows are handed on as they come."""
+    import numpy as np
+
+    held, large = None, None  # rows of the last key so far; the key of the large group that goes on
+    for batch in tidied(batches):
+        columns = [c.to_numpy() for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        if large is not None:
+            cut = np.searchsorted(columns[0], large, side="right")
+            if cut:
+                yield [c[:cut] for c in columns], False
+            columns = [c[cut:] for c in columns]
+            if not len(columns[0]):
+                continue
+            large = None
+        held = columns if held is None else [np.concatenate(c) for c in zip(held, columns, strict=True)]
+        key = held[0]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[starts, len(key)])
+        ended = np.arange(len(key)) < starts[-1]
+        fits = np.repeat(sizes <= most, sizes)
+        for pick, whole in ((ended & fits, True), (ended & ~fits, False)):
+            if pick.any():
+                yield [c[pick] for c in held], whole
+        held = [c[starts[-1] :] for c in held]
+        if sizes[-1] > most:
+            yield held, False
+            held, large = None, key[-1]
+    if held is not None and len(held[0]):
+        yield held, len(held[0]) <= most
+
+
+def blocks_met(rows: DataFrame, by: str) -> DataFrame:
+    """Rows of large groups with the key of each pair of blocks that their block is in.
+
+    Two rows of a group meet in one pair of blocks at least; a pair has about ``2 * SPLIT`` rows.
+    """
+    sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("_blocks"))
+    sizes = checked_broadcast(written(sizes, "simhash-blocks"), 16)
+    rows = rows.join(sizes, "key").withColumn("_mine", F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    pair = F.xxhash64("key", F.least("_mine", "_other"), F.greatest("_mine", "_other"))
+    return rows.withColumn("key", pair).drop("_blocks", "_mine", "_other")
+
+
+def _links(rows: DataFrame, most: int, split: int | None) -> DataFrame:
+    """(key, a, b) of (key, fp): links, and with a key the rows of groups over ``split``."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        held = (np.empty(0, np.int64), np.empty(0, np.int64))  # a group may go over batches
+        for (key, fp), whole in in_groups(batches, split or 1 << 62):
+            if whole:
+                pairs = np.unique(np.sort(np.stack(group_links(key, fp, most), 1), 1), axis=0)
+                columns = [pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+            else:
+                columns = [pa.array(key), pa.array(fp), pa.nulls(len(fp), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "a", "b"])
 
-        def out(key, fp):
-            pairs = np.unique(np.sort(np.stack(group_links(key, fp, most), 1), 1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, a long, b long")
 
-        for batch in batches:
-            key = np.concatenate([held[0], batch.column(0).to_numpy()])
-            fp = np.concatenate([held[1], batch.column(1).to_numpy()])
-            cut = np.searchsorted(key, key[-1]) if len(key) else 0
-            if cut:
-                yield out(key[:cut], fp[:cut])
-            held = (key[cut:], fp[cut:])
-        if len(held[0]):
-            yield out(*held)
 
-    dealt = variants(fps, most).repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a long, b long")
+def links(fps: DataFrame, most: int = MOST_BITS) -> DataFrame:
+    """Links (a, b) between distinct fingerprints; their components are those of all pairs
+    within ``most`` bits.  Groups of over ``SPLIT`` rows are met block by block."""
+    found = written(_links(variants(fps, most), most, SPLIT), "simhash-links")
+    large = found.where("key is not null").select("key", F.col("a").alias("fp"))
+    out = found.where("key is null").select("a", "b")
+    if large.isEmpty():
+        return out
+    return out.union(_links(blocks_met(large, "fp"), most, None).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
@@ -233,6 +286,7 @@ def sketch_of(text: bytes, size: int) -> list[int]:
 
 def sketches(docs: DataFrame, keep: list[str], size: int) -> DataFrame:
     """``keep``, ``name`` and the fingerprints of the text's distinct shingles."""
+    text_batches(docs.sparkSession)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], whole_text().cast("binary").alias("_text"))
     made = ["name", *FINGERPRINTS]
     out = rows.drop("_text").select("*", *[F.lit(0).cast("long").alias(c) for c in made]).schema
@@ -241,8 +295,8 @@ def sketches(docs: DataFrame, keep: list[str], size: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
-            each = [sketch_of(t, size) for t in batch.column("_text").to_pylist()]
+        for batch in tidied(batches):
+            each = [sketch_of(t.as_py(), size) for t in batch.column("_text")]
             each = np.array(each, np.int64).reshape(-1, len(made))
             names = [c for c in batch.schema.names if c != "_text"]
             columns = [*map(batch.column, names), *[pa.array(each[:, i].copy()) for i in range(len(made))]]
@@ -318,35 +372,55 @@ def group_pairs(key, group, bits, bound: int, lo: int, hi: int):
     return np.concatenate(a), np.concatenate(b), np.flatnonzero(on)
 
 
-def candidate_pairs(rows: DataFrame, bound: int, lo: int, hi: int) -> DataFrame:
+def candidate_pairs(rows: DataFrame, bound: int, lo: int, hi: int, split: int | None = None) -> DataFrame:
     """Names (a, b) of rows that share a key, are within ``bound`` bits and not in one class,
-    with a null ``key``; and ``key`` and name ``a`` of rows that go on beyond rank ``hi``."""
+    with a null ``key``; and ``key`` and name ``a`` of rows that go on: beyond rank ``hi``, and
+    with ``large`` those of groups over ``split``, which nothing has been compared with."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        def out(key, name, group, *bits):
+        def out(key, a, b, large):
+            none = pa.nulls(len(a), pa.int64())
+            columns = [none if key is None else pa.array(key), pa.array(a), none if b is None else pa.array(b), pa.array(np.full(len(a), large))]
+            return pa.RecordBatch.from_arrays(columns, ["key", "a", "b", "large"])
+
+        for (key, name, group, *bits), whole in in_groups(batches, split or 1 << 62):
+            if not whole:
+                yield out(key, name, None, True)
+                continue
             x, y, on = group_pairs(key, group, [f.view(np.uint64) for f in bits], bound, lo, hi)
             pairs = np.unique(np.sort(np.stack([name[x], name[y]], 1), 1), axis=0)
-            none = pa.nulls(len(pairs), pa.int64()), pa.nulls(len(on), pa.int64())
-            yield pa.RecordBatch.from_arrays([none[0], pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
-            yield pa.RecordBatch.from_arrays([pa.array(key[on]), pa.array(name[on]), none[1]], ["key", "a", "b"])
-
-        held = None  # a group may go over batches
-        for batch in batches:
-            columns = [c.to_numpy() for c in batch.columns]
-            held = columns if held is None else [np.concatenate(c) for c in zip(held, columns, strict=True)]
-            cut = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0
-            if cut:
-                yield from out(*[c[:cut] for c in held])
-            held = [c[cut:] for c in held]
-        if held is not None and len(held[0]):
-            yield from out(*held)
+            yield out(None, pairs[:, 0], pairs[:, 1], False)
+            yield out(key[on], name[on], None, False)
 
     rows = rows.select("key", "name", "group", *FINGERPRINTS[:CARRIED])
     dealt = rows.repartition("key").sortWithinPartitions("key", "name")
-    return dealt.mapInArrow(run, "key long, a long, b long")
+    return dealt.mapInArrow(run, "key long, a long, b long, large boolean")
+
+
+def first_candidates(todo: DataFrame, texts: DataFrame, bound: int, hi: int) -> DataFrame:
+    """(key, a, b) of ``candidate_pairs`` for the nearest of each row; large groups block by block."""
+    found = written(candidate_pairs(todo, bound, 0, hi, SPLIT), "simhash-found")
+    out = found.where("not large").select("key", "a", "b")
+    large = found.where("large").select("key", F.col("a").alias("name"))
+    if large.isEmpty():
+        return out
+    met = blocks_met(large, "name").join(texts, "name").withColumn("group", F.col("name"))
+    return written(out.union(candidate_pairs(met, bound, 0, hi).select("key", "a", "b")), "simhash-found")
+
+
+def _joined(rooted: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) of what the links of all rounds connect: the classes of the rounds before are
+    single nodes to the new links, so that only links between classes are followed."""
+    if rooted is None:
+        return components(links)
+    a, b = rooted.toDF("a", "_a"), rooted.toDF("b", "_b")
+    links = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    above = written(components(links.where("a <> b").distinct()), "simhash-classes")
+    moved = rooted.join(above.toDF("root", "_root"), "root", "left").select("node", F.coalesce("_root", "root").alias("root"))
+    return moved.unionByName(above.join(rooted.select("node"), "node", "left_anti"))
 
 
 def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float = 0.8) -> DataFrame:
@@ -366,7 +440,7 @@ def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float
     sketch = [F.first(f).alias(f) for f in FINGERPRINTS]
     texts = written(rows.groupBy("name").agg(F.min(order).alias("first"), *sketch), "simhash-texts")
     todo = meeting_rows(texts, most).withColumn("group", F.col("name"))
-    found = written(candidate_pairs(todo, most_apart(similarity), 0, FIRST), "simhash-found")
+    found = first_candidates(todo, texts, most_apart(similarity), FIRST)
 
     nodes = found.select("a").union(found.select("b")).where("a is not null").distinct().toDF("_name")
     nodes = texts.join(nodes, texts["name"] == nodes["_name"]).select("name", "first.doc_id", F.col("first.hash").alias("hash"))
@@ -374,19 +448,17 @@ def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float
     is_node = helper["doc_id"].eqNullSafe(nodes["_id"]) & (helper["hash"] == nodes["_hash"])
     sets = _shingle_sets(helper.join(nodes, is_node).select("name", "text"), size).dropDuplicates(["name"])
     sets = written(sets, "simhash-sets")
-    verified, lo, hi = None, 0, FIRST
+    rooted, lo, hi = None, 0, FIRST
     while True:
         pairs = found.where("key is null").select("a", "b").distinct()
-        alike = written(_alike(pairs, sets, similarity), "simhash-alike")
-        verified = alike if verified is None else verified.union(alike)
-        rooted = components(verified)
+        rooted = written(_joined(rooted, written(_alike(pairs, sets, similarity), "simhash-alike")), "simhash-roots")
         left = found.where("key is not null").select("key", F.col("a").alias("name")).distinct()
         if left.isEmpty():
             break
         lo, hi = hi, hi * GROW
         todo = left.join(texts, "name").join(rooted, F.col("name") == rooted["node"], "left")
         todo = todo.withColumn("group", F.coalesce("root", "name"))
-        found = written(candidate_pairs(todo, most_apart(similarity), lo, hi), "simhash-found")
+        found = written(candidate_pairs(todo, most_apart(similarity), lo, hi).select("key", "a", "b"), "simhash-found")
 
     grouped = texts.join(rooted, texts["name"] == rooted["node"], "left")
     stay = grouped.groupBy(F.coalesce("root", "name")).agg(F.min("first").alias("first"))

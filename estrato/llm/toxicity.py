@@ -297,8 +297,8 @@ def toxicity_scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc
     """``keep``, score, predicted and the evidence: the terms found in the whole text and the
     nearest examples.
 
-    Null and empty texts have no terms and get the score of such texts; repeated rows get
-    equal scores; columns of ``docs`` not in ``keep`` are left out; an empty table gives an
+    Null and empty texts have no terms and get the score of such texts; texts of any length are
+    read whole; repeated rows get equal scores; columns of ``docs`` not in ``keep`` are left out; an empty table gives an
     empty one, and without labels of both kinds every score is the rate of label 1.
     """
     from pyspark.sql import types as T

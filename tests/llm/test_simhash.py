@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 
 from estrato.llm.components import components
+from estrato.llm import simhash
 from estrato.llm.simhash import fingerprint_of, links, near_duplicates, one_of_each
 
 
@@ -162,3 +163,68 @@ def test_a_family_of_hundreds_is_joined_by_verified_links_only(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     stayed = {r.doc_id for r in one_of_each(docs).collect()}
     assert set(root.values()) <= stayed and len(stayed) <= len(set(root.values())) * 1.05
+
+
+def _family(rng, n):
+    """Signed fingerprints of which many share variants and differ in a few bits."""
+    base = [rng.getrandbits(64) for _ in range(3)]
+    out = set()
+    while len(out) < n:
+        x = rng.choice(base)
+        for _ in range(rng.randrange(7)):
+            x ^= 1 << rng.randrange(22)  # in the first segment, so that the others stay whole
+        out.add(x - (1 << 64) if x >> 63 else x)
+    return sorted(out)
+
+
+def test_large_groups_are_dealt_out_in_blocks(spark, monkeypatch):
+    rng = random.Random(13)
+    fps = _family(rng, 500)
+    rows = spark.createDataFrame([(f,) for f in fps], "fp long").repartition(7)
+    near = {(a, b) for i, a in enumerate(fps) for b in fps[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
+    want = _roots(fps, lambda a, b: (a, b) in near)
+    monkeypatch.setattr(simhash, "SPLIT", 12)
+    got = {tuple(sorted((r.a, r.b))) for r in simhash.links(rows).collect()}
+    assert got <= near and _roots(fps, lambda a, b: (a, b) in got) == want
+    # every group that is compared is bounded, and no pair of a group is lost
+    large = simhash.variants(rows).groupBy("key").count().where("count > 12").select("key")
+    members = simhash.variants(rows).join(large, "key")
+    met = simhash.blocks_met(members, "fp")
+    sizes = [r["count"] for r in met.groupBy("key").count().collect()]
+    assert max(sizes) <= 5 * 12 and len(sizes) > 10
+    groups, pairs = {}, {}
+    for r in members.collect():
+        groups.setdefault(r.key, []).append(r.fp)
+    for r in met.collect():
+        pairs.setdefault(r.key, []).append(r.fp)
+    together = {(a, b) for g in pairs.values() for a in g for b in g}
+    assert all((a, b) in together for g in groups.values() for a in g for b in g)
+
+
+def test_groups_come_whole_or_as_large(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    key = np.sort(rng.choice(40, 600, p=np.r_[0.4, np.full(39, 0.6 / 39)])).astype(np.int64)
+    value = np.arange(600)
+    for step in (1, 7, 50, 600):
+        batches = [pa.RecordBatch.from_arrays([pa.array(key[i : i + step]), pa.array(value[i : i + step])], ["key", "v"]) for i in range(0, 600, step)]
+        whole, large = {}, []
+        for (k, v), is_whole in simhash.in_groups(iter(batches), 30):
+            for x in np.unique(k).tolist():
+                mine = v[k == x].tolist()
+                if is_whole:
+                    assert x not in whole
+                    whole[x] = mine
+                else:
+                    large += [(x, y) for y in mine]
+        sizes = np.bincount(key, minlength=40)
+        assert {x: v for x, v in whole.items()} == {x: value[key == x].tolist() for x in range(40) if 0 < sizes[x] <= 30}
+        assert large == [(int(k), int(v)) for k, v in zip(key, value, strict=True) if sizes[k] > 30]
+    assert list(simhash.in_groups(iter([]), 30)) == []
+
+
+def test_a_family_of_hundreds_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SPLIT", 20)
+    test_a_family_of_hundreds_is_joined_by_verified_links_only(spark)
