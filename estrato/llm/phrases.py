@@ -18,14 +18,15 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrato.llm.common import whole_text
+from estrato.llm.common import text_batches, tidied, whole_text
 from estrato.llm.multikey import frequent_beginnings
 from estrato.session import written
 
 LONGEST = 4
 LEAST = 30
-#: Suffixes that a bucket holds about, and that a task gathers before it sends them on.
+#: Suffixes that a bucket holds about at most, and that a task gathers before it sends them on.
 BUCKET_ROWS = 1_000_000
+GATHERED = 1 << 18
 #: Buckets for each shuffle partition at least, so that partitions are alike.
 BUCKETS_EACH = 8
 #: Words that a task remembers or counts before it begins anew.
@@ -60,6 +61,7 @@ def word_key(lang: bytes, seed: int):
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    text_batches(docs.sparkSession)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     return docs.select(lang.cast("binary").alias("lang"), whole_text().cast("binary").alias("text"))
 
@@ -88,7 +90,7 @@ def word_counts(docs: DataFrame, least: int, seed: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["hash", "lang", "word", "n"])
             counts.clear()
 
-        for batch in batches:
+        for batch in tidied(batches):
             for lang, text in zip(*batch.columns, strict=True):
                 counts.setdefault(lang.as_py(), Counter()).update(tokens_of(text.as_py(), table))
                 if sum(map(len, counts.values())) > HELD:
@@ -205,7 +207,7 @@ def routed_suffixes(docs: DataFrame, bits, hot: dict[int, int], total: int, buck
 
         langs: dict[bytes, Keys] = {}
         held, n = [], 0
-        for batch in batches:
+        for batch in tidied(batches):
             for lang, text in zip(*batch.columns, strict=True):
                 lang = lang.as_py()
                 known = langs.get(lang)
@@ -217,10 +219,10 @@ def routed_suffixes(docs: DataFrame, bits, hot: dict[int, int], total: int, buck
                 n += len(held[-2]) + 1
                 if sum(map(len, langs.values())) > HELD:
                     langs.clear()
-                if n >= BUCKET_ROWS:
+                if n >= GATHERED:
                     keys = np.concatenate(held)
-                    for at in range(0, n, BUCKET_ROWS):
-                        yield from out(keys[at : at + BUCKET_ROWS + longest], min(BUCKET_ROWS, n - at))
+                    for at in range(0, n, GATHERED):
+                        yield from out(keys[at : at + GATHERED + longest], min(GATHERED, n - at))
                     held, n = [], 0
         if n:
             yield from out(np.concatenate(held), n)
@@ -265,7 +267,7 @@ def phrase_counts(routed: DataFrame, least: int, longest: int, tasks: int) -> Da
         if at is not None:
             yield from out(held, at[1])
 
-    dealt = routed.repartition(tasks, "bucket").sortWithinPartitions("bucket", "partial")
+    dealt = routed.repartitionById(tasks, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "partial")
     found = written(dealt.mapInArrow(run, "key array<long>, a long, part boolean"), "phrases")
     parts = found.where("part").groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     return found.where("not part").select("key", "a").union(parts)
@@ -312,7 +314,7 @@ def collocations(
             break
     langs = words.where("word is null").select("lang", "n")
     total = langs.agg(F.sum("n")).first()[0] or 1
-    buckets = min(max(BUCKETS_EACH * tasks, total // bucket_rows), 1 << 22)
+    buckets = tasks * min(max(BUCKETS_EACH, -(-total // (bucket_rows * tasks))), (1 << 22) // tasks)
     often = max(total // (2 * buckets), total // HOT_SHARE, 1)
     vocabulary = words.where("word is not null")
     hot = {r.hash % 2**64: r.n for r in vocabulary.where(F.col("n") > often).select("hash", "n").collect()}
