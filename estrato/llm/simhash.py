@@ -10,7 +10,8 @@ thousands of links, not their square.  Copies share a fingerprint and are compar
 Near copies by shingle similarity (``one_of_each``) meet in the same one-wildcard join over
 several independently seeded fingerprints of their distinct shingles: a pair that one seed
 misses meets by another.  Pairs that two fingerprints put far apart are dropped, the others
-are held against the shingles themselves.
+are held against the shingles themselves.  ``least_of_each`` keeps one text of each component of
+linked fingerprints and compares no texts.
 """
 
 from __future__ import annotations
@@ -234,14 +235,33 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MOST_BITS)
     """
     rows = written(fingerprints(docs, ["doc_id"], size), "simhash")
     copies = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-copies")
-    rooted = components(links(copies.select("fp"), most))
-    labelled = copies.join(rooted, copies["fp"] == rooted["node"], "left")
-    labelled = labelled.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    labelled = _rooted(copies, most)
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = written(labelled.join(least, "root").select("fp", "component_id"), "simhash-ids")
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(copies: DataFrame, most: int) -> DataFrame:
+    """Add ``root``, a fingerprint that names the component, to a table of distinct fingerprints."""
+    rooted = components(links(copies.select("fp"), most))
+    both = copies.join(rooted, copies["fp"] == rooted["node"], "left")
+    return both.select(*copies.columns, F.coalesce("root", "fp").alias("root"))
+
+
+def least_of_each(docs: DataFrame, size: int = SHINGLE, most: int = MOST_BITS) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each component of ``near_duplicates``, with all
+    their columns.
+
+    The row with the least doc_id stays (null last), of rows that tie any one.  Null and
+    empty texts are copies of each other.  Columns named as the helper ones are kept.
+    """
+    helper = docs.select("doc_id", whole_text().alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = written(fingerprints(helper, ["doc_id", "hash"], size), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+    copies = written(rows.groupBy("fp").agg(F.min(order).alias("first")), "simhash-copies")
+    return _staying(docs, rows, _rooted(copies, most).groupBy("root").agg(F.min("first").alias("first")))
+
+
 def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
     """Replace the text by ``set``, hashes of its distinct shingles (of all words if fewer)."""
     words = F.regexp_extract_all(F.lower(whole_text()), F.lit(f"({WORD})"), 1)
@@ -461,7 +481,12 @@ def one_of_each(docs: DataFrame, size: int = 5, most: int = 7, similarity: float
         found = written(candidate_pairs(todo, most_apart(similarity), lo, hi).select("key", "a", "b"), "simhash-found")
 
     grouped = texts.join(rooted, texts["name"] == rooted["node"], "left")
-    stay = grouped.groupBy(F.coalesce("root", "name")).agg(F.min("first").alias("first"))
+    return _staying(docs, rows, grouped.groupBy(F.coalesce("root", "name")).agg(F.min("first").alias("first")))
+
+
+def _staying(docs: DataFrame, rows: DataFrame, stay: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``first`` (doc_id, hash of the text) of ``stay`` names, each once;
+    ``rows`` has doc_id and hash of all."""
     stay = stay.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash"), F.lit(True).alias("_stays"))
     keys = rows.groupBy("doc_id", "hash").agg(F.count("*").alias("n"))
     marks = keys.join(stay, keys["doc_id"].eqNullSafe(stay["_id"]) & (keys["hash"] == stay["_hash"]), "left")
