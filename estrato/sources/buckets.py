@@ -59,12 +59,16 @@ def missing_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], row_
     """Rows of ``source``, a written table, whose key the target lacks.
 
     A source of checked size is sent to the target, which then only gives back the keys it
-    has; a larger one is joined the usual way.
+    has; of a larger one only the keys are shuffled to meet the target, and its rows take the
+    new ones, whose size as written decides how.  An empty target is met by nothing.
     """
+    same = [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in keys]
     if source.count() * row_bytes > SENT_BYTES:
-        return not_in(source, target, keys)
+        if target.isEmpty():
+            return source
+        new = written(not_in(source.select(*keys).distinct(), target, keys), "new-keys")
+        return source.alias("t").join(new.alias("s"), same, "left_semi")
     asked = F.broadcast(source.select(*keys).distinct())
-    same = [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in keys]
     known = target.alias("t").join(asked.alias("s"), same, "left_semi")
     return not_in(source, written(known.distinct(), "known-keys"), keys)
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from estrato import schemas
 from estrato.plans import access, weather
 from estrato.plans.registered.access import _GATES, tables_l, tables_q
+from estrato.sources import buckets
 from estrato.sources.buckets import BUCKET, bucket_of, insert_bucketed, missing_keys, read_keys
 from estrato.sources.compaction import bins_of, compact, packed_loads, read_loads, remove_replaced
 from estrato.sources.ledger import Ledger, read_folders
@@ -257,3 +258,19 @@ def test_bins_hold_no_more_than_their_size():
         held[b] = held.get(b, 0) + sizes[name]
     assert set(bins) == set(sizes) and max(held.values()) <= 60
     assert len(held) <= -(-sum(sizes.values()) // 60) * 1.3 and bins_of({}, 60) == {}
+
+
+def test_a_large_batch_meets_the_table_by_its_keys(spark, tmp_path, monkeypatch):
+    """A batch over the size that is sent: only its keys are shuffled to find the new ones."""
+    monkeypatch.setattr(buckets, "SENT_BYTES", 0)
+    rows = spark.createDataFrame([(i, f"p{i}") for i in range(50)] + [(None, "none")], "k long, payload string")
+    path = str(tmp_path / "t")
+    assert buckets.insert_bucketed(rows, path, ["k"], [F.col("payload").asc()], "1") == 51
+    assert buckets.insert_bucketed(rows, path, ["k"], [F.col("payload").asc()], "2") == 0
+    more = rows.unionByName(spark.createDataFrame([(99, "new"), (99, "newer")], rows.schema))
+    assert buckets.insert_bucketed(more, path, ["k"], None, "3") == 2
+    source = more.localCheckpoint()
+    found = buckets.missing_keys(source, rows.select("k").localCheckpoint(), ["k"])
+    assert sorted(r.payload for r in found.collect()) == ["new", "newer"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "LeftAnti" not in plan  # the target meets keys, not rows
