@@ -14,6 +14,7 @@ TIME_ZONE = "America/Sao_Paulo"
 
 _DAY_FIRST = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
 _SHORT_YEAR = r"^(\d{1,2}[/.-]\d{1,2}[/.-])(\d{2})(?!\d)"
+_SHORT = r"^(\d{1,2})[/.-](\d{1,2})[/.-]"
 #: Two-digit years from here on are of the last century.
 LAST_CENTURY = 75
 _WALL_CLOCK = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,6})?)?)?$"
@@ -26,6 +27,11 @@ def _year_first(c: Column) -> Column:
     return F.regexp_replace(c, _DAY_FIRST, "$3-$2-$1")
 
 
+def _wall_clock(c: Column) -> Column:
+    """A wall-clock timestamp, NULL where the text isn't one; the text is looked at once."""
+    return F.regexp_extract(c, _WALL_CLOCK, 0).try_cast("timestamp_ntz")
+
+
 def _full_year(c: Column) -> Column:
     """A day-first date with its year in four digits."""
     short = F.regexp_extract(c, _SHORT_YEAR, 2)
@@ -36,8 +42,12 @@ def _full_year(c: Column) -> Column:
 def day_first_timestamp(c: Column) -> Column:
     """``31/12/2025 10:20[:30]``, with a year of two digits too, or ISO as a wall-clock
     timestamp, NULL if neither."""
-    s = _year_first(_full_year(strip(c)))
-    return F.when(s.rlike(_WALL_CLOCK), s.try_cast("timestamp_ntz"))
+    s = strip(c)
+    tens, ones = divmod(LAST_CENTURY, 10)
+    last = rf"([{tens + 1}-9]\d|{tens}[{ones}-9])(?!\d)"
+    late = F.regexp_replace(s, _SHORT + last, "19$3-$2-$1")
+    # each text goes once through each pattern; most are read by the first two
+    return F.coalesce(_wall_clock(_year_first(s)), _wall_clock(F.regexp_replace(late, _SHORT + r"(\d{2})(?!\d)", "20$3-$2-$1")))
 
 
 def day_first_date(c: Column) -> Column:

@@ -204,15 +204,32 @@ def fields_of(record: Column, sep: str = ";") -> Column:
         body = F.substring(f, F.lit(2), F.length(f) - 2)
         return F.when(f.startswith('"'), F.replace(body, F.lit('""'), F.lit('"'))).otherwise(f)
 
+    # with all fields in quotes and no other quotes, quotes and separator stand at the borders alone
+    inner = F.when(record.endswith(sep), F.concat(F.substr(record, F.lit(2)), F.lit('"'))).otherwise(
+        F.substring(record, F.lit(2), F.length(record) - 2)
+    )
     has_quote = F.contains(record, F.lit('"'))
-    return F.when(has_quote, F.transform(raw, unquote)).otherwise(F.split(record, sep))
+    return (
+        F.when(_all_quoted(record, sep), F.split(inner, f'"{sep}"'))
+        .when(has_quote, F.transform(raw, unquote))
+        .otherwise(F.split(record, sep))
+    )
+
+
+def _all_quoted(record: Column, sep: str) -> Column:
+    """Whether every field is in quotes, a last empty one aside, and no quotes are inside them."""
+    return record.rlike(rf'^"[^"]*+"(?:{sep}"[^"]*+")*+{sep}?\z')
 
 
 def is_well_formed(record: Column, sep: str = ";") -> Column:
     """False where text follows a closing quote: strict CSV readers refuse the file."""
     field = rf'(?:{_QUOTED}(?={sep}|$)|(?!")[^{sep}]*+)'
     strict = record.rlike(rf"(?s)^{field}(?:{sep}{field})*+$")
-    return F.when(F.contains(record, F.lit('"')), strict).otherwise(F.lit(True))
+    return (
+        F.when(_all_quoted(record, sep), F.lit(True))
+        .when(F.contains(record, F.lit('"')), strict)
+        .otherwise(F.lit(True))
+    )
 
 
 def parse_records(
