@@ -8,11 +8,14 @@ summary of one row per chunk.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estrato.operators.shape import read_cells
+
 CHUNK = "_chunk"
 CHUNK_SPAN = 1 << 17
 #: Summary rows that one window sees: the chunks of a group are summed up in turn.
@@ -43,23 +46,37 @@ def forward_fill(
     order: str,
     columns: Sequence[str],
     span: int = CHUNK_SPAN,
+    read: Mapping[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """Replace NULLs by the last value above them in the group, in ``order``.
 
     Group columns must not be NULL.  The rows are shuffled once, by group and chunk;
     the join with the summary keeps that partitioning and sort order.
+
+    ``read`` is applied to the filled columns it names, as it would be after the fill, but
+    once where a value stands and not in every row that takes it over.
     """
+    held = {c: _held(f) for c, f in (read or {}).items()}
     chunked = with_chunk(df, order, span)
     window = within_chunk(group, order)
     kept = [F.col(c) for c in chunked.columns if c not in columns]
-    inside = chunked.select(*kept, *[F.last(c, True).over(window).alias(c) for c in columns])
+    values = read_cells(chunked, held)
+    inside = values.select(*kept, *[F.last(c, True).over(window).alias(c) for c in columns])
     carry = _carried(_last_per_chunk(chunked, group, order, columns), group, columns)
-    filled = {c: F.coalesce(F.col(c), F.col(f"_carry_{c}")).alias(c) for c in columns}
+    carry = read_cells(carry, {f"_carry_{c}": f for c, f in held.items()})
+    filled = {c: F.coalesce(F.col(c), F.col(f"_carry_{c}")) for c in columns}
+    filled = {c: (v["v"] if c in held else v).alias(c) for c, v in filled.items()}
     return inside.join(carry, [*group, CHUNK], "left").select(
         *[filled.get(c, F.col(c)) for c in df.columns]
     )
 
 
+@cache
+def _held(f: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    """``f`` of a value as a row of one: a value that is read as NULL is one still."""
+    return lambda c: F.when(c.isNotNull(), F.struct(f(c).alias("v")))
+
+
 def _carried(last: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """What each chunk takes over from the ones before it, in two steps: from those of its
     own run of chunks, else from the runs before, of which there is one row each."""

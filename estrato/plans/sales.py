@@ -16,7 +16,7 @@ from estrato.functions import dates, numbers, text
 from estrato.operators import reports
 from estrato.operators.formats import chosen_formats, format_counts, with_formats
 from estrato.operators.ordered import forward_fill
-from estrato.operators.shape import align_to_schema, drop_empty_or_zero
+from estrato.operators.shape import align_to_schema, drop_empty_or_zero, read_cells
 from estrato.session import written
 from estrato.sources.files import TABLE, raw_lines
 from estrato.sources.tables import datasets_with_suffix, empty_datasets, write_reports
@@ -256,14 +256,15 @@ def typed_report(
     by_format = _date_columns(parsed, report) if formats is not None else []
     if by_format:
         rows = with_formats(rows, file, by_format, formats)
+    cast = {n: f for n, f in report.casts.items() if n in parsed.columns and n not in by_format}
     if report.fill:
-        rows = forward_fill(rows, [file], reports.LINE, report.fill)
+        early = {n: cast.pop(n) for n in report.fill if n in cast}
+        rows = forward_fill(rows, [file], reports.LINE, report.fill, read=early)
     if report.need:
         rows = drop_empty_or_zero(rows, report.need)
-    cast = {n: f(F.col(n)) for n, f in report.casts.items() if n in parsed.columns and n not in by_format}
-    typed = rows.select(
+    typed = read_cells(rows, cast).select(
         F.col(file).alias("fonte_tabela_bronze"),
-        *[cast.get(n, F.col(n)).alias(n) for n in parsed.columns],
+        *parsed.columns,
         F.lit(run_ts).alias("ingested_at"),
     )
     if "criado" in parsed.columns:

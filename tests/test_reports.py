@@ -161,3 +161,29 @@ def test_forward_fill_is_the_pandas_one(spark, monkeypatch, summary):
     for span in (1, 64, 10**6):
         got = forward_fill(df, ["g"], "i", ["x", "y"], span).orderBy("i").collect()
         assert [tuple(r) for r in got] == want
+
+
+def test_cells_are_read_where_they_stand(spark):
+    """A rule of a filled column meets each cell, not each row below it; what it can't read stays NULL."""
+    rows = [("g", i, {0: "1", 300: "x", 600: "3"}.get(i), None if i % 2 else "5") for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, i long, x string, y string")
+
+    def rule(c):
+        return c.try_cast("int")
+
+    for span in (7, 128, 10**6):
+        got = forward_fill(df, ["g"], "i", ["x", "y"], span, read={"x": rule, "y": rule}).orderBy("i").collect()
+        assert [(r.x, r.y) for r in got] == [({0: 1, 1: None, 2: 3}[i // 300], 5) for i in range(900)]
+
+
+def test_records_of_quoted_fields_alone(spark):
+    texts = ['"a";"b";', '"a";"b"', '"a"', '""', '"";"";', '"a;b";"c\nd"', '"a""b";"c"', '"a";b', '"a"x;"b"', '"a";"b";\r', 'a;b;', '"a";"b"\n', '"a";;"b"']
+    records = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "src_table string, line_no long, raw_line string")
+    got = reports.parse_records(records, FILE, na_tokens=()).orderBy("line_no").collect()
+    assert [r.fields for r in got] == [
+        ["a", "b", ""], ["a", "b"], ["a"], [""], ["", "", ""], ["a;b", "c\nd"], ['a"b', "c"], ["a", "b"], ["a", "b"],
+        ["a", "b", "\r"], ["a", "b", ""], ["a", "b"], ["a", "", "b"],
+    ]
+    assert [r.strict for r in got][:8] == [True] * 8 and not got[8].strict
+    plan = reports.parse_records(records, FILE)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2
