@@ -42,8 +42,8 @@ UNITS = (
     "miles?", "feet", "foot", "inch(?:es)?", "pounds?", "ounces?", "seconds?", "minutes?",
     "hours?", "days?", "weeks?", "months?", "years?", "dollars?", "euros?", "cents?", "degrees?",
 )
-NUMBER = (
-    r"(?<![\p{L}\p{M}\p{Nd}])([0-9]+(?:[.,:][0-9]+)*)(?:[ ]?(" + "|".join(UNITS) + r")(?![\p{L}\p{Nd}])|(?![\p{L}\p{M}\p{Nd}]))"
+NUMBER = (  # a digit is looked for first: that is cheaper than looking back at every place
+    r"(?=[0-9])(?<![\p{L}\p{M}\p{Nd}])([0-9]+(?:[.,:][0-9]+)*)(?:[ ]?(" + "|".join(UNITS) + r")(?![\p{L}\p{Nd}])|(?![\p{L}\p{M}\p{Nd}]))"
 )
 NAME = r"\p{Lu}(?<=[\p{Ll},;:)] .)\p{Ll}[\p{L}\p{M}\p{Nd}]*"
 WORDS = r"[\p{L}\p{M}\p{Nd}]+"
@@ -84,17 +84,43 @@ def _aligned_windows(rows: DataFrame, *keep: str) -> DataFrame:
     values of its slots (null for a plain word)."""
     m = rows.withColumn("_m", marked(whole_text()))
     m = m.select(*keep, template_words(F.col("_m")).alias("_t"), valued_words(F.col("_m")).alias("_v"), plain_words(F.col("_m")).alias("_p"))
-    m = m.select(*keep, "_t", "_p", F.transform("_v", lambda v: F.when(v.startswith(SLOT), v)).alias("_v"))
+    m = m.select(
+        *keep, "_t", "_p", _hashed("_t").alias("_th"), _hashed("_p").alias("_ph"),
+        F.transform("_v", lambda v: F.when(v.startswith(SLOT), v)).alias("_v"),
+    )
     window = F.explode(_each_window("_t", lambda i: F.struct(
-        i.alias("place"), *_hashes("_t", i, "hash"), *_hashes("_p", i, "plain_hash"), F.slice("_v", i, WINDOW).alias("values"),
+        i.alias("place"), *_hashes("_t", "_th", i, "hash"), *_hashes("_p", "_ph", i, "plain_hash"), F.slice("_v", i, WINDOW).alias("values"),
     )))
     return m.select(*keep, window.alias("w")).select(*keep, "w.*")
 
 
-def _hashes(words: str, i: Column, name: str) -> list[Column]:
-    """Two independent 64-bit hashes of a window, to join by and to verify."""
-    w = F.slice(words, i, WINDOW)
-    return [F.xxhash64(w).alias(name), F.xxhash64(F.lit("verify"), w).alias(f"{name}_2")]
+def _hashed(words: str) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _hashes(words: str, hashed: str, i: Column, name: str) -> list[Column]:
+    """Two 64-bit hashes of a window: one of its words' hashes to join by, one of its words to verify."""
+    return [F.xxhash64(F.slice(hashed, i, WINDOW)).alias(name), F.xxhash64(F.lit("verify"), F.slice(words, i, WINDOW)).alias(f"{name}_2")]
+
+
+def _window_hashes(rows: DataFrame, *keep: str) -> DataFrame:
+    """(keep, hash): the first hashes of each window's template and, where they differ, plain words.
+
+    Each word is hashed once and a window is five numbers of an array, read where it is exploded.
+    Only for texts without the marks themselves, as words are told from their marks.
+    """
+    m = rows.select(*keep, marked(whole_text()).alias("_m"))
+    m = m.select(*keep, valued_words(F.col("_m")).alias("_v"))
+    kind, value = lambda w: F.substring(w, 1, len(SLOT) + 1), lambda w: F.substring(w, len(SLOT + VALUE) + 2, 1 << 30)
+    template = F.transform("_v", lambda w: F.xxhash64(F.when(w.startswith(SLOT), kind(w)).otherwise(w)))
+    plain = F.transform("_v", lambda w: F.xxhash64(F.when(w.startswith(SLOT), value(w)).otherwise(w)))
+    words = m.select(*keep, template.alias("_t"), plain.alias("_p"))
+    # the outer form keeps Spark from a filter on the array's size, which would build all words twice
+    each = words.select(*keep, "_t", "_p", F.posexplode_outer("_t").alias("_i", "_first")).where(F.col("_i") <= F.size("_t") - WINDOW)
+    t, p = (F.xxhash64(*[F.get(c, F.col("_i") + k) for k in range(WINDOW)]) for c in ("_t", "_p"))
+    each = each.select(*keep, t.alias("_th"), p.alias("_ph"))
+    both = F.array(F.col("_th"), F.when(F.col("_th") != F.col("_ph"), F.col("_ph")))
+    return each.select(*keep, F.explode(both).alias("hash")).where(F.col("hash").isNotNull())
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -147,15 +173,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY)
     hashes = checked_broadcast(written(hashes, "benchmark-hashes"), 16)
     least = asked.agg(F.min(F.ceil(F.col("windows") * similarity))).first()[0]
     rows = _key(docs.select("doc_id", "text"))
-    m = rows.select("doc_id", "_text", marked(whole_text()).alias("_m"))
-    words = m.select("doc_id", "_text", template_words(F.col("_m")).alias("_t"), plain_words(F.col("_m")).alias("_p"))
-    template = _each_window("_t", lambda i: F.xxhash64(F.slice("_t", i, WINDOW)))
-    plain = _each_window("_p", lambda i: F.xxhash64(F.slice("_p", i, WINDOW)))
-    each = words.select("doc_id", "_text", template.alias("_t"), plain.alias("_p"))
-    other = F.filter(F.zip_with("_t", "_p", lambda t, p: F.when(t != p, p)), lambda p: p.isNotNull())
-    each = each.select("doc_id", "_text", F.explode(F.concat("_t", other)).alias("hash"))
-    met = each.join(hashes, "hash", "left_semi").groupBy("doc_id", "_text").agg(F.count("*").alias("n"))
-    met = written(met.where(F.col("n") >= F.lit(least or 1)).select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")), "candidates")
+    forged = whole_text().contains(SLOT) | whole_text().contains(VALUE)  # no words to tell by: candidates as they are
+    met = _window_hashes(rows.where(~forged), "doc_id", "_text").join(hashes, "hash", "left_semi")
+    met = met.groupBy("doc_id", "_text").agg(F.count("*").alias("n")).where(F.col("n") >= F.lit(least or 1))
+    met = met.select("doc_id", "_text").union(rows.where(forged).select("doc_id", "_text").distinct())
+    met = written(met.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")), "candidates")
     met = checked_broadcast(met, 24)
     same = rows["doc_id"].eqNullSafe(met["_id"]) & (rows["_text"] == met["_hash"])
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -164,3 +164,24 @@ def test_longest_chain(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, p array<struct<place:int,at:int>>")
     got = {r.i: r.n for r in df.select("i", longest_chain(F.col("p")).alias("n")).collect()}
     assert got == {i: plain(c) for i, c in enumerate(cases)}
+
+
+def test_each_window_is_hashed_as_the_benchmark_is_and_words_are_cut_once(spark):
+    from estrato.llm.decontamination import _aligned_windows, _window_hashes
+
+    texts = [
+        "then Ann has 3 apples and 4,5 kg of flour, says Bob.", "no number or name at all here", "four words are short", "five words are just enough",
+        "", None, "1 2 3 4 5 6", "so İpek ran 10km to ÉTÉ and Zoë 7% in 2 hours", "x " * 40,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    mine = _window_hashes(rows, "doc_id")
+    windows = _aligned_windows(rows, "doc_id").select("doc_id", "hash", "plain_hash")
+    want = windows.select("doc_id", "hash").union(windows.where("hash != plain_hash").select("doc_id", "plain_hash"))
+    assert sorted(map(tuple, mine.collect())) == sorted(map(tuple, want.collect())) and mine.count()
+    plan = mine._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("regexp_replace") == 3
+    item = "the old man walked down to the river and sat there for hours"
+    docs = [(1, f"\u0001{item}\u0001"), (2, f"\u0002n\u0001{item} \u0002p\u0001 end"), (3, "\u0001 \u0002n")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {2} <= {r.doc_id for r in leaks(docs, bench).collect()} <= {1, 2}
